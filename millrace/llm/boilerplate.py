@@ -48,7 +48,7 @@ _SHOWS = re.compile(r"[^\s​-‏ - ⁠-⁯﻿\xad]")
 _ALONE = 1 << 30
 
 #: Documented bound of the training sample, in pages.
-TRAIN_PAGES = 6000
+TRAIN_PAGES = 4000
 #: Strength of edges and of priors by place, in the unit of the classifier's log odds.
 NEAR, APART, HUB, UP = 1.5, 0.5, 0.8, 0.3
 #: Occurrences at which a token has half of its say.
@@ -404,13 +404,17 @@ def _main_box(lines: list[Line], scores: list[float], parents: list[int], start:
 # --- distributed operator ------------------------------------------------------------------------
 
 
-def fit(pages: DataFrame, pos: Column, site: Column, data: Column, train_pages: int = TRAIN_PAGES) -> Classifier:
-    """Fit on the ``train_pages`` semantically marked pages of smallest hashed position.
+def fit(pages: DataFrame, pos: Column, site: Column, data: Column, n_rows: int, train_pages: int = TRAIN_PAGES) -> Classifier:
+    """Fit on at most ``train_pages`` semantically marked pages of smallest hashed position.
 
-    The sample is bounded by the parameter, whatever the size of the table; a table without such
-    pages gives a classifier without an opinion, and the cut then follows place alone.
+    ``n_rows``: rows of the table behind ``pages``. Only positions whose hash is in the lowest
+    4 * train_pages / n_rows part are looked at, so what reaches the driver is bounded by the
+    parameter, whatever the size of the table. A table without marked pages gives a classifier
+    without an opinion, and the cut then follows place alone.
     """
-    marked = pages.where(data.rlike(r"(?i)<(?:nav|footer)\b") & data.rlike(r"(?i)<(?:main|article)\b"))
+    part = min(1.0, 4.0 * train_pages / max(n_rows, 1))
+    low = F.xxhash64(pos) < int(-(2**63) + part * (2**64 - 1)) if part < 1 else F.lit(True)
+    marked = pages.where(low).where(data.rlike(r"(?i)<(?:nav|footer)\b") & data.rlike(r"(?i)<(?:main|article)\b"))
     rows = marked.select(F.xxhash64(pos).alias("h"), site.alias("site"), data.alias("data")).orderBy("h").limit(train_pages).collect()
     return Classifier.fit(x for r in rows for x in weak_labels(r["data"], (r["site"] or "").lower()))
 
@@ -430,10 +434,10 @@ def _label(model: Classifier):
     return run
 
 
-def furniture(pages: DataFrame, pos: Column, site: Column, title: Column, is_html: Column, data: Column, train_pages: int = TRAIN_PAGES) -> DataFrame:
+def furniture(pages: DataFrame, pos: Column, site: Column, title: Column, is_html: Column, data: Column, n_rows: int, train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(pos, line_no) of the furniture lines. Null, empty and blank pages have none; repeated rows are labelled one by one."""
     pages = pages.select(pos.cast("long").alias("pos"), site.alias("site"), title.alias("title"), is_html.alias("is_html"), data.alias("data")).where(F.col("data").rlike(r"\S"))
-    model = fit(pages.where("is_html"), F.col("pos"), F.col("site"), F.col("data"), train_pages)
+    model = fit(pages.where("is_html"), F.col("pos"), F.col("site"), F.col("data"), n_rows, train_pages)
     return pages.mapInArrow(_label(model), "pos long, line_no long")
 
 
@@ -449,8 +453,8 @@ def _keep(model: Classifier):
     return run
 
 
-def main_text(pages: DataFrame, pos: Column, site: Column, title: Column, is_html: Column, data: Column, train_pages: int = TRAIN_PAGES) -> DataFrame:
+def main_text(pages: DataFrame, pos: Column, site: Column, title: Column, is_html: Column, data: Column, n_rows: int, train_pages: int = TRAIN_PAGES) -> DataFrame:
     """(pos, text): the article's lines of every page that shows text."""
     pages = pages.select(pos.cast("long").alias("pos"), site.alias("site"), title.alias("title"), is_html.alias("is_html"), data.alias("data")).where(F.col("data").rlike(r"\S"))
-    model = fit(pages.where("is_html"), F.col("pos"), F.col("site"), F.col("data"), train_pages)
+    model = fit(pages.where("is_html"), F.col("pos"), F.col("site"), F.col("data"), n_rows, train_pages)
     return pages.mapInArrow(_keep(model), "pos long, text string")

@@ -23,11 +23,11 @@ def _columns():
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boilerplate.furniture(_pages(spark, sf_dir), *_columns())
+    return boilerplate.furniture(_pages(spark, sf_dir), *_columns(), table(spark, sf_dir, "wiki_text").count())
 
 
 def p3_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boilerplate.main_text(_pages(spark, sf_dir), *_columns())
+    return boilerplate.main_text(_pages(spark, sf_dir), *_columns(), table(spark, sf_dir, "wiki_text").count())
 
 
 QUERIES = {"p3_found": p3_found, "p3_text": p3_text}
