@@ -1,0 +1,26 @@
+"""Numbers within groups, without any task holding a whole group."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+
+def salted_rank(df: DataFrame, keys: list[str], spread: Column, salts: int) -> DataFrame:
+    """``df`` with ``rank``, 0, 1, 2 ... within each group of ``keys``.
+
+    The order is that of ``spread``, a uniformly spread long that is distinct per row. Groups are
+    cut by its lowest bits into ``salts`` parts that are numbered apart and shifted by the sizes of
+    the parts before them, so a hot group is shared by up to ``salts`` tasks.
+    """
+    part = df.withColumn("_spread", spread).withColumn("_salt", F.pmod(F.col("_spread"), F.lit(salts)).cast("int"))
+    sizes = part.groupBy(*keys, "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
+    shift = sizes.select(*keys, "_salt", F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy("_spread"))
+    return part.withColumn("_own", own).join(shift, [*keys, "_salt"]).withColumn("rank", F.col("_before") + F.col("_own") - 1).drop("_spread", "_salt", "_own", "_before")
+
+
+def salts_for(rows: int, per_task: int = 2_000_000) -> int:
+    """Parts enough for a group that holds all rows to come in pieces of ``per_task``."""
+    return max(8, -(-rows // per_task))
