@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.plans import orphan_plans
+from millrace.plans import curation_plans, orphan_plans
 
-QUERIES = {**orphan_plans.QUERIES}
-SQL = {**orphan_plans.SQL}
+QUERIES = {**orphan_plans.QUERIES, **curation_plans.QUERIES}
+SQL = {**orphan_plans.SQL, **curation_plans.SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
