@@ -60,25 +60,30 @@ def rewrite_images(html: Column, refs: Column) -> Column:
     return F.when((F.size(tags) == 0) | F.coalesce(F.size(refs) <= 0, F.lit(True)), html).otherwise(whole)
 
 
+#: Hosts of wikis, endings of stub categories, characters that show nothing, CJK ranges.
+WIKI_HOSTS = r"(?i)(?:wikipedia\.org|wikimedia\.org|mediawiki\.org|wiktionary\.org|wikiquote\.org|wikisource\.org|wikibooks\.org|fandom\.com|wiki\..*\.org)"
+STUBS = r"(?i)stubs?$|小作品$|スタブ$"
+INVISIBLE = "[\ufeff\u200b-\u200f\u202a-\u202e\u2060\u2061]"
+CJK = "[\u4e00-\u9fff\u3400-\u4dbf\u3000-\u303f\u3040-\u309f\u30a0-\u30ff\uac00-\ud7af]"
+
+
 def is_wiki_url(url: Column) -> Column:
-    """A host of a wiki (fixed patterns)."""
-    return F.coalesce(url.rlike(r"wiki(?:pedia|media|source|voyage|quote|books|data|news|versity)?\.org|wiktionary\.org|wiki\..*\.org"), F.lit(False))
+    return F.coalesce(url.rlike(WIKI_HOSTS), F.lit(False))
 
 
 def is_stub_category(name: Column) -> Column:
-    return F.coalesce(name.rlike(r"(?i)stubs?$|小作品$|小作品。?$|スタブ$"), F.lit(False))
+    return F.coalesce(name.rlike(STUBS), F.lit(False))
 
 
 def is_cjk(text: Column) -> Column:
-    """More than half of the letters are Chinese, Japanese or Korean."""
-    cjk = F.regexp_count(text, F.lit(r"[぀-ヿ㐀-䶿一-鿿豈-﫿가-힯]"))
+    """More than half as many Chinese, Japanese or Korean characters as letters."""
     letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    return F.coalesce((letters > 0) & (cjk > letters * 0.5), F.lit(False))
+    return F.coalesce((letters > 0) & (F.regexp_count(text, F.lit(CJK)) > letters * 0.5), F.lit(False))
 
 
 def without_invisible(text: Column) -> Column:
     """Zero-width and directional characters and byte order marks removed."""
-    return F.regexp_replace(text, "[​-‏‪-‮⁠﻿]", "")
+    return F.regexp_replace(text, INVISIBLE, "")
 
 
 def without_front_matter(markdown: Column) -> Column:
@@ -90,7 +95,7 @@ def normal_whitespace(markdown: Column) -> Column:
     """Blank lines emptied, runs of them cut to one, common entities and line-break tags resolved (O158)."""
     t = F.regexp_replace(markdown, r"(?m)^[ \t ]+$", "")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         t = F.replace(t, F.lit(a), F.lit(b))
     t = F.regexp_replace(t, r"(?i)<br\s*/?>", "")
     return F.regexp_replace(t, r"^\n+", "")

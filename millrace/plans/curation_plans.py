@@ -237,7 +237,9 @@ SQL = {
       select id, pos, coalesce(data, '') as data, first_value(coalesce(data, '')) over (partition by id order by pos) as f, row_number() over (partition by id order by pos) as rn from image_labels where id is not null)
       where rn > 1 and f <> '' and data <> '' and data <> f""",
     "front_matter_strip": f"select doc_id, sha256({_FRONT}) as text_hash from documents where text is not null",
-    "invisible_strip": "select pos, sha256(regexp_replace(data, '[​-‏‪-‮⁠﻿]', '', 'g')) as data_hash from wiki_text where data is not null",
+    "invisible_strip": f"select pos, sha256(regexp_replace(data, '{pages.INVISIBLE}', '', 'g')) as data_hash from wiki_text where data is not null",
+    "cjk_texts": f"""select doc_id, n > 0 and len(regexp_extract_all(text, '{pages.CJK}')) > n * 0.5 as is_cjk
+      from (select doc_id, text, len(regexp_extract_all(text, '\\p{{L}}')) as n from documents where text is not null)""",
     "link_kinds": rf"""select pos, u <> '' and not regexp_matches(u, '^(#|data:|mailto:|tel:|javascript:|https?://|//)') as is_relative,
       regexp_matches(u, '{'|'.join(x.replace('.', '[.]') for x in urls.SOCIAL_DOMAINS)}') as is_social, contains(lower(u), 'print') as is_print, regexp_matches(lower(split_part(u, '?', 1)), '\.({'|'.join(urls.IMAGE_EXTENSIONS)})$') as is_image_file
       from (select pos, json_extract_string(j, '$.image_url') as u from (select pos, {_OBJ} as j from image_labels)) where u is not null""",
