@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsonx
 from millrace.html import kernel
-from millrace.sources.tables import table
+from millrace.sources.tables import spread, table
 
 
 def _html(s, d):
     rows = table(s, d, "wiki_text")
-    return rows.where(jsonx.fields(F.col("info"), "format")["format"] == "html").select("pos", "id", "info", "data")
+    return spread(rows.where(jsonx.fields(F.col("info"), "format")["format"] == "html").select("pos", "id", "info", "data"))
 
 
 def page_markdown(s, d):

@@ -12,6 +12,7 @@ import os
 import time
 from collections.abc import Callable
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,7 +63,7 @@ def rewrite_with(text: DataFrame, url_map: DataFrame, extract: Callable, normali
 def localized(ds: Dataset, strict: bool = True) -> tuple[Dataset, dict[str, DataFrame], localize.Localized]:
     """Stage 1: pages point to local images, images and labels have one row per id; diagnostics beside."""
     got = localize.localize(ds.text, ds.image_labels)
-    new_info = F.udf(_set_ids, "string")
+    new_info = F.pandas_udf(_set_ids, "string")
     text = ds.text.select("pos", "id", "info", "tags").join(got.text.select("pos", "data", "image_ids"), "pos")
     text = text.select("pos", "id", new_info("info", "image_ids").alias("info"), "data", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"))
     labels = dedup.merge_labels(ds.image_labels, strict).select("pos", "id", "info", "data", "tags")
@@ -75,8 +76,9 @@ def localized(ds: Dataset, strict: bool = True) -> tuple[Dataset, dict[str, Data
     return Dataset(text, dedup.keep_first(ds.images), labels), side, got
 
 
-def _set_ids(info: str | None, ids: list[str] | None) -> str:
-    return json.dumps(chat.info_object(info) | {"image_ids": list(ids or [])}, ensure_ascii=False)
+def _set_ids(info: pd.Series, ids: pd.Series) -> pd.Series:
+    rows = [chat.info_object(i) | {"image_ids": [] if x is None else list(x)} for i, x in zip(info, ids)]
+    return pd.Series([json.dumps(r, ensure_ascii=False) for r in rows])
 
 
 def parsed(ds: Dataset, out_format: str = "md", remove_ref: bool = False, timeout: int = 30) -> tuple[Dataset, DataFrame]:

@@ -36,3 +36,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer partitions than cores (small or unsplittable files) dealt out to all cores.
+
+    For rows about to enter a costly per-row kernel. Larger scans stay as they are; only plans
+    without a shuffle should come here, as the partitions are counted by planning.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
