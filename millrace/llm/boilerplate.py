@@ -41,7 +41,8 @@ _FURNITURE_NAME = re.compile(
     r"(?:^|[-_ ])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|path|crumbs?|foot|footer|sidebar|side|cookies?|consent|gdpr|banner|promo|ads?|advert|advertisement|sponsor(?:ed)?|newsletter|subscribe|signup"
     r"|share|sharing|social|related|recommend(?:ed|ations)?|popular|trending|comments?|editsection|edit|toolbar|pagination|pager|login|masthead|skip|copyright|legal|feedback|widget|popup|modal|overlay)(?:[-_ ]|$)"
 )
-_WORD = re.compile(r"[^\W\d_]+|\d+|[|/·•>©\[\]]")
+_WORD = re.compile(r"[一-鿿]+|[^\W\d_一-鿿]+|\d+|[|/·•>©\[\]]")
+_FIELD = re.compile(r"\s*[^\s:：][^:：]{0,40}[:：]\s*\S")
 _HAN = re.compile(r"[一-鿿]")
 _SHOWS = re.compile(r"[^\s​-‏ - ⁠-⁯﻿\xad]")
 
@@ -51,6 +52,8 @@ _ALONE = 1 << 30
 TRAIN_PAGES = 4000
 #: Strength of edges and of priors by place, in the unit of the classifier's log odds.
 NEAR, APART, HUB, UP = 1.5, 0.5, 0.8, 0.3
+#: Weight from which a short line is a known heading of articles.
+FAMILIAR = 2.0
 #: Occurrences at which a token has half of its say.
 SHRINK = 8.0
 LIMIT, NAMED, OUTSIDE, INSIDE, BEFORE_TITLE, TITLE = 6.0, 9.0, 8.0, 1.0, 4.0, 9.0
@@ -191,7 +194,7 @@ def tokens(text: str, site: str) -> set[str]:
     if len(s) <= 60 and words <= 10:
         low = re.sub(r"\d+", "0", s.lower())
         if "@site" in found:
-            low = re.sub(r"[^\W\d_]{4,}(?: 0)?", lambda m: "@" if m.group().removesuffix(" 0") in site else m.group(), low)
+            low = re.sub(r"[^\W\d_一-鿿]{4,}(?: 0)?", lambda m: "@" if m.group().removesuffix(" 0") in site else m.group(), low)
         found.add("=" + low)
     if words >= 8 and (m := re.match(r"[^\s:]+(?: [^\s:]+)?: ", s)) and m.end() < 32:
         found.add("@teaser")
@@ -224,13 +227,15 @@ class Classifier:
                 w[t] = max(-5.0, min(5.0, odds)) * (a + b) / (a + b + SHRINK)
         return cls(w, 0.0)
 
+    def known(self, toks: set[str]) -> float | None:
+        """Weight of a whole short line, where it was seen in training."""
+        return next((self.weights.get(t) for t in toks if t[0] == "="), None)
+
     def score(self, toks: set[str]) -> float:
         g = self.weights.get
-        for t in toks:
-            if t[0] == "=":  # a whole short line that is known speaks for itself
-                known = g(t)
-                if known is not None:
-                    return max(-LIMIT, min(LIMIT, 1.5 * known))
+        known = self.known(toks)
+        if known is not None:  # it speaks for itself
+            return max(-LIMIT, min(LIMIT, 1.5 * known))
         if not any(t in self.weights for t in toks if t[0] != "@"):
             return 0.0  # the shape alone has no say
         return max(-LIMIT, min(LIMIT, self.prior + sum([g(t, 0.0) for t in toks])))
@@ -323,11 +328,18 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
         lines, parents, h1 = text_lines(data), [-1], -1
     if not lines:
         return [], []
-    scores = [model.score(tokens(ln.text, site)) for ln in lines]
+    toks = [tokens(ln.text, site) for ln in lines]
+    scores = [model.score(t) for t in toks]
     n = len(lines)
     unary = list(scores)
+    kinds = [_shape(ln.text) for ln in lines] if not is_html else []
+    for i, k in enumerate(kinds):
+        if k == "bullet":
+            unary[i] -= 0.5
+        elif k == "short" and -FAMILIAR < (model.known(toks[i]) or 0.0) and not _FIELD.match(lines[i].text):
+            unary[i] = max(unary[i], 0.0)  # a name alone may be a heading, a menu entry or a link: what is around it decides
     want = _plain(title) if title else ""
-    at = next((i for i, ln in enumerate(lines) if want and len(ln.text) < len(title) + 40 and _plain(ln.text) == want and not ln.named), -1)
+    at = next((i for i, ln in enumerate(lines) if want and len(ln.text) < len(title) + 40 and _plain(ln.text) == want and not ln.named and (h1 < 0 or ln.box == h1)), -1)
     if is_html:
         main = _main_box(lines, scores, parents, h1 if h1 >= 0 else lines[at].box if at >= 0 else -1)
         b = main
@@ -352,15 +364,12 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
             for i in range(at):
                 unary[i] += BEFORE_TITLE
     edges: dict[tuple[int, int], float] = {}
-    kinds = [_shape(ln.text) for ln in lines] if not is_html else []
     for i in range(1, n):
         a, b = lines[i - 1], lines[i]
         if is_html:
             edges[(i - 1, i)] = HUB if a.box == b.box and a.named == b.named else 0.2
         else:
             edges[(i - 1, i)] = APART * (0.5 if b.gap else 1) if b.gap or kinds[i - 1] != kinds[i] else NEAR
-            if kinds[i] == "bullet":
-                unary[i] -= 0.5
     if is_html:  # container nodes
         node: dict[int, int] = {}
 
