@@ -43,6 +43,8 @@ _HAN = re.compile(r"[㐀-鿿]")
 _SENTENCE_END = re.compile(r"[.!?…。！？](?=[\s\"”’)\]]|$)|[。！？]")
 #: Words of a block.
 BLOCK = 120
+#: Words at which a text's own entropy and repetition have half of the say, and the entropy level of prose.
+FEW, LEVEL = 25, 1.5
 NAMES = ("links", "functions", "entropy", "repetition", "top", "sentences")
 #: Direction of spam in each feature.
 SPAM_SIGN = np.array([1.0, -1.0, -1.0, 1.0, 1.0, -1.0])
@@ -108,15 +110,18 @@ def features(text: str, said: str | None) -> tuple[str, list[float]] | None:
         content = pairs if lang == "zh" else {w: v for w, v in count.items() if w not in fw}
         total = sum(content.values())
         top += max(content.values(), default=0) / max(total, 1) * min(1.0, total / 12) * k / n
+    # few words say little about both: a text of two sentences may well repeat itself
+    entropy = (n * entropy + FEW * LEVEL) / (n + FEW)
+    repetition = n * repetition / (n + FEW)
     ends = len(_SENTENCE_END.findall(shown))
     sentences = min(1.0, 12.0 * ends / max(n if lang != "zh" else n / 1.6, 1))
     return lang, [links, functions, entropy, repetition, top, sentences]
 
 
 #: Smallest standard deviation that a feature counts with.
-FLOORS = np.array([0.06, 0.05, 0.2, 0.10, 0.05, 0.15])
-#: Squared distances: 95 % quantile (core of the reweighting) and 1 - 1e-4 quantile (cut-off) of chi-square with 6 degrees.
-CORE, CUT = 12.59, 27.86
+FLOORS = np.array([0.10, 0.05, 0.2, 0.10, 0.05, 0.10])
+#: Squared distances: 95 % quantile (core of the reweighting) and 99.95 % quantile (cut-off) of chi-square with 6 degrees.
+CORE, CUT = 12.59, 24.1
 STEPS = 3
 D = len(NAMES)
 
