@@ -7,12 +7,41 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Spark's own file server carries the archive, so executors need neither the package nor its folder.
+    Where the package came in an archive itself (``--py-files``), the workers have it already.
+    """
+    sc = spark.sparkContext
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if sc.applicationId in _SHIPPED or not os.path.isdir(home):
+        return
+    _SHIPPED.add(sc.applicationId)
+    folder = tempfile.mkdtemp(prefix="millrace-code-")  # on the driver only
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    name = os.path.basename(home)
+    path = os.path.join(folder, f"{name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, files in os.walk(home):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(at, f)
+                    z.write(full, os.path.join(name, os.path.relpath(full, home)))
+    sc.addPyFile(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a dataset folder; a folder or a single file, both named ``<name>.parquet``."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
