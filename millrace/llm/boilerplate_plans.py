@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsonx
 from millrace.llm import boilerplate
-from millrace.sources.tables import table
+from millrace.sources.tables import spread, table
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +15,7 @@ def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "wiki_text").select("pos", "data", info.alias("i")).where("i is not null")
     fmt = F.lower(F.trim(F.col("i.format")))
     site = F.lower(F.regexp_extract("i.url", r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#\s]+)", 1))
-    return rows.where(fmt.isin("html", "txt")).select("pos", site.alias("site"), F.col("i.title").alias("title"), (fmt == "html").alias("is_html"), "data")
+    return spread(rows.where(fmt.isin("html", "txt")).select("pos", site.alias("site"), F.col("i.title").alias("title"), (fmt == "html").alias("is_html"), "data"))
 
 
 def _columns():

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import mixing, packing, tokens
-from millrace.sources.tables import materialize, table
+from millrace.sources.tables import materialize, spread, table
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return materialize(tokens.token_counts(docs, F.col("text"), F.col("doc_id"), F.col("source")), "token-sizes")
 
 

@@ -55,7 +55,7 @@ _MATH = (
     ("math_tag", re.compile(r"<math\b[^>]*>.*?</math>", re.I)),
     ("math_par", re.compile(r"\\\(.+?\\\)|\\\[.+?\\\]")),
     ("math_dollar2", re.compile(r"\$\$[^$]+\$\$")),
-    ("math_dollar", re.compile(r"(?<![\\$\w])\$(?=[^\s$])(?:[^$\n]*?[^\s\\$])?\$(?![\w$])")),
+    ("math_dollar", re.compile(r"(?<![\\$\w])\$(?=[^\s$])(?:[^$\n]*?[^\s\\$(\[])?\$(?![\w$])")),
 )
 _INLINE = (
     ("comment", re.compile(r"<!--.*?(?:-->|$)")),

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import spam
-from millrace.sources.tables import materialize, table
+from millrace.sources.tables import materialize, spread, table
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return spam.spam_scores(materialize(spam.vectors(docs, F.col("doc_id"), F.col("lang"), F.col("text")), "spam-vectors"))
 
 
