@@ -142,6 +142,18 @@ def chat_messages(s, d):
     return chat.to_chat(_markdown(s, d)).select("pos", "info", "data")
 
 
+def md_image_ids(s, d):
+    return chat.content_parts(_markdown(s, d)).where("image_id is not null").select("pos", "image_id")
+
+
+def chat_image_ids(s, d):
+    """Images and dropped images as the info beside a payload has them."""
+    i = F.col("info")
+    ids = F.array_join(F.from_json(F.get_json_object(i, "$.image_ids"), "array<string>"), ",")
+    n = F.coalesce(F.get_json_object(i, "$.dropped_nonlocal_images").cast("int"), F.lit(0))
+    return chat.to_chat(_markdown(s, d)).select("pos", F.coalesce(ids, F.lit("")).alias("image_ids"), n.alias("n_dropped"), F.get_json_object(i, "$.format").alias("format"))
+
+
 def local_image_ids(s, d):
     f = jsonx.fields(F.col("info"), "image_ids")["image_ids"]
     ids = F.explode(F.filter(F.split(F.regexp_replace(f, r'[\[\]"]', ""), r","), lambda x: x != ""))
@@ -174,7 +186,7 @@ QUERIES = {
     for f in (
         url_normalize, content_sha256, html_meta, img_sources, candidate_urls, label_urls, localize_url_map, localize_missing, localize_unmatched, localize_text,
         localize_counters, images_keep_first, images_hash_conflicts, images_first_seen, labels_row_positions, labels_merged_tags, labels_data_conflicts,
-        labels_info_variants, labels_merge, front_matter_strip, whitespace_normal, invisible_strip, cjk_texts, link_kinds, md_parts, chat_messages,
+        labels_info_variants, labels_merge, front_matter_strip, whitespace_normal, invisible_strip, cjk_texts, link_kinds, md_parts, md_image_ids, chat_messages, chat_image_ids,
         local_image_ids, size_index, small_image_filter, small_image_counts,
     )
 }
@@ -243,6 +255,16 @@ SQL = {
     "link_kinds": rf"""select pos, u <> '' and not regexp_matches(u, '^(#|data:|mailto:|tel:|javascript:|https?://|//)') as is_relative,
       regexp_matches(u, '{'|'.join(x.replace('.', '[.]') for x in urls.SOCIAL_DOMAINS)}') as is_social, contains(lower(u), 'print') as is_print, regexp_matches(lower(split_part(u, '?', 1)), '\.({'|'.join(urls.IMAGE_EXTENSIONS)})$') as is_image_file
       from (select pos, json_extract_string(j, '$.image_url') as u from (select pos, {_OBJ} as j from image_labels)) where u is not null""",
+    "whitespace_normal": r"""select doc_id, sha256(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(text, '(?m)^[ \t\x{a0}]+$', '', 'g'),
+      '\n{3,}', chr(10) || chr(10), 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '(?i)<br\s*/?>', '', 'g'), '^\n+', '')) as text_hash from documents where text is not null""",
+    "md_image_ids": f"""with t as (select doc_id as pos, unnest(regexp_extract_all({_FRONT}, '!\\[[^\\]]*\\]\\(([^()]*)\\)', 1)) as href from documents)
+      select pos, regexp_extract(href, '^(?:\\./)?images/+([^?#]+)', 1) as image_id from t where regexp_matches(href, '^(\\./)?images/')""",
+    "chat_image_ids": f"""with t as (select doc_id as pos, coalesce(regexp_extract_all({_FRONT}, '!\\[[^\\]]*\\]\\(([^()]*)\\)', 1), []) as hrefs from documents)
+      select pos, array_to_string(list_transform(list_filter(hrefs, lambda h: regexp_matches(h, '^(\\./)?images/')), lambda h: regexp_extract(h, '^(?:\\./)?images/+([^?#]+)', 1)), ',') as image_ids,
+        cast(len(list_filter(hrefs, lambda h: not regexp_matches(h, '^(\\./)?images/'))) as integer) as n_dropped, 'openai' as format from t""",
+    "local_image_ids": rf"""with t as (select pos, cast(json_extract(j, '$.image_ids') as varchar) as v from (select pos, {_OBJ} as j from wiki_text)),
+      r as (select pos, unnest(string_split(regexp_replace(replace(v, '\', ''), '[\[\]"]', '', 'g'), ',')) as ref from t)
+      select pos, regexp_extract(ref, 'images/+([^?#]+)', 1) as image_id from r where starts_with(trim(ref), 'images/')""",
     "size_index": f"with {_IMG_SIZE} select image_id, width, height from sizes",
     "small_image_counts": f"""with {_IMG_SIZE}, t as (select pos, coalesce(cast(json_extract(j, '$.image_ids') as varchar), '') as v from (select pos, {_OBJ} as j from wiki_text)),
       ids as (select distinct pos, unnest(regexp_extract_all(lower(v), '[0-9a-f]{{64}}')) as image_id from t),

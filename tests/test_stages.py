@@ -45,6 +45,12 @@ def test_image_rewriting(spark):
     assert got == [html.replace('"//h/a" srcset="a 1x"', '"images/1$"'), html, None]
 
 
+def test_host_references(spark):
+    html = '<img src="//upload.wikimedia.org/c/thumb/e/x.jpg/9px-x.jpg"><img src="//h/x.jpg"><img src="//upload.wikimedia.org/y">'
+    df = spark.createDataFrame([(html, {"upload.wikimedia.org/c/e/x.jpg": "i1", "h/x.jpg": "i2"})], "h string, m map<string,string>")
+    assert df.select(pages.host_refs(F.col("h"), F.col("m")).alias("x")).first().x == {"//upload.wikimedia.org/c/thumb/e/x.jpg/9px-x.jpg": "images/i1"}
+
+
 def tables(spark):
     info = lambda **k: json.dumps(k)
     text = [
