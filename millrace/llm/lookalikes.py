@@ -61,6 +61,8 @@ def _shown(ch: str) -> str:
         return " "
     if ch in "‐‑":
         return "-"
+    if cp in _CLASS:
+        return ch
     d = unicodedata.decomposition(ch)
     if d.startswith(_FOLDED):
         parts = [chr(int(x, 16)) for x in d.split()[1:]]
