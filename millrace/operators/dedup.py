@@ -1,16 +1,21 @@
 """First row wins, and ordered merging of label rows. O051-O057.
 
-Winners are found on (id, pos) alone. Image bytes are never shuffled for it: the rows to *drop* are
-few, and the wide table is filtered by them.
+Winners are found on (id, pos) alone. The wide table is then filtered by the rows to *drop*, which
+are few: a bloom filter of bounded size lets all other rows pass where they are, and only rows that
+hit it, the repeated ones and about one in a hundred more, meet the exact list in a join. So image
+bytes are not shuffled, whatever the size of the table.
 """
 
 from __future__ import annotations
 
+import functools
 import json
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,9 +53,44 @@ def repeated_rows(df: DataFrame, key: str = "id") -> DataFrame:
     return df.select(key, "pos").join(again, key).where("pos > first_pos").select("pos")
 
 
-def keep_first(df: DataFrame, key: str = "id") -> DataFrame:
-    """``df`` without repeated rows (O055)."""
-    return df.join(repeated_rows(df, key), "pos", "left_anti")
+#: Bits of the filter: 16 MB at most on the driver and in each worker.
+BLOOM_BITS = 1 << 27
+_SEEDS = (11, 23)
+
+
+def _places(bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(F.lit(s), F.col("pos")), F.lit(bits)) for s in _SEEDS]
+
+
+def keep_first(df: DataFrame, key: str = "id", bits: int = BLOOM_BITS) -> DataFrame:
+    """``df`` without repeated rows (O055). A full filter only sends more rows through the exact join."""
+    drop = repeated_rows(df, key)
+    at = F.explode(F.array(*_places(bits)))
+    words = drop.select(at.alias("b")).groupBy(F.floor(F.col("b") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(b, 64) as int))")).alias("v"))
+    known = {r["w"]: r["v"] for r in words.collect()}  # at most bits / 64 numbers
+    if not known:
+        return df
+    filled = np.zeros(bits // 64, dtype=np.uint64)
+    filled[np.fromiter(known.keys(), dtype=np.int64)] = np.fromiter((v & (2**64 - 1) for v in known.values()), dtype=np.uint64)
+    packed = zlib.compress(filled.tobytes(), 1)
+
+    @F.pandas_udf(T.BooleanType())
+    def hit(a: pd.Series, b: pd.Series) -> pd.Series:
+        table = _unpacked(packed)
+        out = np.ones(len(a), dtype=bool)
+        for x in (a.to_numpy(), b.to_numpy()):
+            out &= (table[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1
+        return pd.Series(out)
+
+    maybe = hit(*_places(bits))
+    marked = df.withColumn("_maybe", maybe)
+    sure = marked.where("not _maybe").drop("_maybe")
+    return sure.unionByName(marked.where("_maybe").drop("_maybe").join(drop, "pos", "left_anti").select(*df.columns))
+
+
+@functools.lru_cache(2)
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(packed), dtype=np.uint64)
 
 
 def hash_conflicts(images: DataFrame) -> DataFrame:

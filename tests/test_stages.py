@@ -103,6 +103,10 @@ def test_image_dedup(spark):
     rows = [(5, "x", b"1", "s1"), (2, "y", b"2", None), (7, "x", b"3", "s2"), (8, "y", b"4", None), (9, "x", b"5", "s1")]
     df = spark.createDataFrame(rows, "pos long, id string, image_bytes binary, sha256 string")
     assert sorted(r.pos for r in dedup.keep_first(df).collect()) == [2, 5]
+    assert sorted(r.pos for r in dedup.keep_first(df, bits=64).collect()) == [2, 5]  # a full filter
+    assert dedup.keep_first(df.where("pos < 6")).count() == 2 and dedup.keep_first(df.limit(0)).count() == 0
+    many = spark.range(3000).selectExpr("id as pos", "cast(id % 1999 as string) as id", "cast('x' as binary) as image_bytes", "'s' as sha256")
+    assert sorted(r.pos for r in dedup.keep_first(many, bits=1 << 12).collect()) == list(range(1999))
     assert [(r.image_id, r.first_sha256, r.duplicate_sha256) for r in dedup.hash_conflicts(df).collect()] == [("x", "s1", "s2")]
     assert sorted((r.ordinal, r.id) for r in dedup.first_seen_order(df).collect()) == [(0, "y"), (1, "x")]
     far = df.withColumn("pos", F.col("pos") * 700_000)
