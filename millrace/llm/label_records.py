@@ -90,12 +90,14 @@ def p2_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     won = representative.choose(
         f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), _usable(), deps=[("url", "size")], values={"url": F.col("url")}
     )
-    rows = won.select("key", "field_name", F.col("pos").alias("p")).join(f, F.col("p") == F.col("pos"))
-    pick = lambda c, n: F.max(F.when(F.col("field_name") == n, F.col(c)))
+    # rows are met by the fields they won, once per row
+    rows = won.groupBy(F.col("pos").alias("p")).agg(F.first("key").alias("key"), F.collect_set("field_name").alias("won"))
+    rows = f.drop("image_id", "trust", "at").join(rows, F.col("p") == F.col("pos"))
+    pick = lambda c, n: F.max(F.when(F.array_contains("won", n), c))
     return rows.groupBy(F.col("key").alias("image_id")).agg(
-        pick("caption", "caption").alias("caption"), pick("width", "size").alias("width"), pick("height", "size").alias("height"),
-        pick("url", "url").alias("url"), pick("data", "data").alias("data"), F.max(F.when(F.col("field_name") == "tags", F.array_join("tags", "|", ""))).alias("tags"),
-        F.count(F.lit(1)).alias("n_fields"),
+        pick(F.col("caption"), "caption").alias("caption"), pick(F.col("width"), "size").alias("width"), pick(F.col("height"), "size").alias("height"),
+        pick(F.col("url"), "url").alias("url"), pick(F.col("data"), "data").alias("data"), pick(F.array_join("tags", "|", ""), "tags").alias("tags"),
+        F.sum(F.size("won")).alias("n_fields"),
     )
 
 

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import materialize
+
 #: Stands for "no time" in sums of times; far below any real time in microseconds.
 NO_TIME = -(10**16)
 #: Trust of rows whose source is not listed.
@@ -92,32 +94,29 @@ def _search(deps: list[tuple[str, str]], out: pa.Schema):
 
 
 def _bounded(cands: DataFrame, deps: list[tuple[str, str]]) -> DataFrame:
-    """Cut off determining values that can't be in an optimal combination, without gathering them."""
-    total = lambda *s: F.struct(*[sum(x[f] for x in s) for f in ("n", "trust", "at", "neg_pos")])
+    """Cut off determining values that can't be in an optimal combination, without gathering them.
+
+    Per group one row of aggregates is joined back: the best complete combination known (a determining
+    value with the best of its dependents) and the best of each dependent bundle under any value.
+    """
+    ranks = ("n", "trust", "at", "neg_pos")
+    total = lambda *s: F.struct(*[sum(x[f] for x in s) for f in ranks])
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"))
-    full = cands.withColumn("s", F.struct(F.lit(1).alias("n"), F.col("trust"), F.col("at"), F.col("neg_pos")))
+    chained = {b for _, b in deps} & {a for a, _ in deps}
     for det in sorted({a for a, _ in deps}):
         below = [b for a, b in deps if a == det]
-        if any(b in {a for a, _ in deps} for b in below):
+        if chained & {det, *below}:
             continue  # chains of dependencies are left to the search
-        per = full.where(F.col("bundle").isin(det, *below)).groupBy("key", "sig").pivot("bundle", [det, *below]).agg(F.max("s"))
-        top = full.where(F.col("bundle").isin(below)).groupBy("key").pivot("bundle", below).agg(F.max("s"))
-        top = top.select(F.col("key").alias("tk"), *[F.col(b).alias(f"top_{b}") for b in below])
-        per = per.where(F.col(det).isNotNull()).join(top, F.col("key") == F.col("tk"), "left").drop("tk")
-        per = per.select(
-            "key", "sig",
-            total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]).alias("low"),
-            total(F.col(det), *[F.coalesce(F.col(f"top_{b}"), zero) for b in below]).alias("up"),
-        )
-        known = per.groupBy("key").agg(F.max("low").alias("known"))
-        keep = per.join(known, "key").where("up >= known").select("key", "sig").withColumn("kept", F.lit(True))
-        some = keep.select("key").distinct().withColumn("has", F.lit(True))
-        linked = F.col("bundle").isin(det, *below)
-        cands = (
-            cands.join(keep, ["key", "sig"], "left").join(some, "key", "left")
-            .where(~linked | F.col("has").isNull() | F.coalesce("kept", F.lit(False)))
-            .drop("kept", "has")
-        )
+        s = F.struct(F.lit(1).alias("n"), "trust", "at", "neg_pos")
+        mine = cands.where(F.col("bundle").isin(det, *below))
+        per = mine.groupBy("key", "sig").agg(*[F.max(F.when(F.col("bundle") == n, s)).alias(n) for n in (det, *below)])
+        low = F.when(F.col(det).isNotNull(), total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]))
+        top = per.groupBy(F.col("key").alias("k")).agg(F.max(low).alias("known"), *[F.max(b).alias(f"top_{b}") for b in below])
+        up = total(F.col(det), *[F.coalesce(F.col(f"top_{b}"), zero) for b in below])
+        kept = per.join(top, F.col("key") == F.col("k")).where(F.col("known").isNull() | (F.col(det).isNotNull() & (up >= F.col("known"))))
+        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(n).alias("s")) for n in (det, *below)]))
+        again = kept.select("key", "sig", offers.alias("o")).where("o.s is not null").select("key", "o.bundle", "sig", "o.s.trust", "o.s.at", "o.s.neg_pos")
+        cands = cands.where(~F.col("bundle").isin(det, *below)).unionByName(again)
     return cands
 
 
@@ -136,24 +135,25 @@ def choose(
     deps = deps or []
     t, a = F.coalesce(trust, F.lit(NO_TRUST)), F.coalesce(at, F.lit(NO_TIME))
     rank = F.struct(t.cast("int").alias("trust"), a.cast("long").alias("at"), (-pos.cast("long")).alias("neg_pos"))
-    null_sig = F.lit(None).cast("long")
     det = {b: a for a, b in deps}
-    sigs = {n: F.when(usable[det.get(n, n)], F.xxhash64(values[det.get(n, n)])) if n in det or n in det.values() else null_sig for n in usable}
-    rows = df.select(key.alias("key"), rank.alias("rank"), *[u.alias(f"u_{n}") for n, u in usable.items()], *[s.alias(f"s_{n}") for n, s in sigs.items()]).where("key is not null")
-    if not deps:
-        best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(F.col(f"u_{n}"), F.col("rank"))).alias(n) for n in usable])
-        best = best.where(F.col("n") >= least)
-        c = [F.struct(F.lit(n).alias("bundle"), null_sig.alias("sig"), F.col(n)["trust"].alias("trust"), F.col(n)["at"].alias("at"), F.col(n)["neg_pos"].alias("neg_pos")) for n in usable]
-        groups = best.select("key", F.array(*c).alias("c"))
-    else:
-        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(f"s_{n}").alias("sig"), F.coalesce(F.col(f"u_{n}"), F.lit(False)).alias("u")) for n in usable]))
-        long = rows.select("key", "rank", offers.alias("o")).groupBy("key", F.col("o.bundle").alias("bundle"), F.when(F.col("o.u"), F.col("o.sig")).alias("sig"))
-        long = long.agg(F.max(F.when(F.col("o.u"), F.col("rank"))).alias("rank"), F.count(F.lit(1)).alias("n"))
+    linked = [n for n in usable if n in det or n in det.values()]
+    free = [n for n in usable if n not in linked]
+    sigs = {n: F.when(usable[det.get(n, n)], F.xxhash64(values[det.get(n, n)])) for n in linked}
+    rows = df.select(key.alias("key"), rank.alias("rank"), *[F.coalesce(u, F.lit(False)).alias(f"u_{n}") for n, u in usable.items()], *[s.alias(f"s_{n}") for n, s in sigs.items()]).where("key is not null")
+    out = pa.schema([("key", pa.string()), ("field_name", pa.string()), ("pos", pa.int64())])
+    found = "key string, field_name string, pos long"
+    # Sums over bundles are best where each component of linked bundles is, so components are searched apart
+    best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(F.col(f"u_{n}"), F.col("rank"))).alias(n) for n in free]).where(F.col("n") >= least)
+    null_sig = F.lit(None).cast("long")
+    c = [F.struct(F.lit(n).alias("bundle"), null_sig.alias("sig"), F.col(n)["trust"].alias("trust"), F.col(n)["at"].alias("at"), F.col(n)["neg_pos"].alias("neg_pos")) for n in free]
+    won = best.select("key", F.array(*c).alias("c")).mapInArrow(_search([], out), found) if free else None
+    if linked:
+        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(f"s_{n}").alias("sig"), F.col(f"u_{n}").alias("u")) for n in linked]))
+        long = rows.select("key", "rank", offers.alias("o")).where("o.u").groupBy("key", F.col("o.bundle").alias("bundle"), F.col("o.sig").alias("sig")).agg(F.max("rank").alias("rank"))
         if least > 1:
-            big = long.groupBy("key", "bundle").agg(F.sum("n").alias("m")).where(F.col("m") >= least).select("key").distinct()
-            long = long.join(big, "key", "left_semi")
-        cands = long.where("rank is not null").select("key", "bundle", "sig", "rank.*")
-        cands = _bounded(cands, deps)
+            long = long.join(best.select("key"), "key", "left_semi")
+        cands = _bounded(materialize(long.select("key", "bundle", "sig", "rank.*"), "candidates"), deps)
         groups = cands.groupBy("key").agg(F.collect_list(F.struct("bundle", "sig", "trust", "at", "neg_pos")).alias("c"))
-    out = pa.schema([("key", pa.string()), ("field_name", pa.string()), ("pos", pa.int64())])
-    return groups.mapInArrow(_search(deps, out), "key string, field_name string, pos long")
+        more = groups.mapInArrow(_search(deps, out), found)
+        won = more if won is None else won.unionByName(more)
+    return won
