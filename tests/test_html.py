@@ -96,6 +96,31 @@ def test_reference_sections():
     assert "## References" in wiki(body)
 
 
+@pytest.mark.parametrize("wrap", ["<h2>{}</h2>", '<div class="mw-heading mw-heading2"><h2>{}</h2></div>', "<section><h2>{}</h2><p>gone</p></section>"])
+@pytest.mark.parametrize("name", ["References", "NOTES", "参考来源", "Einzelnachweise", "Véase también", "примечания"])
+def test_reference_layouts(wrap, name):
+    body = wrap.format("Kept").replace("gone", "kept too") + "<p>Body.</p>" + wrap.format(name) + ("" if "section" in wrap else "<ol><li>gone</li></ol><h3>Sub</h3><p>gone</p>") + wrap.format("Legacy").replace("gone", "x") + "<p>After.</p>"
+    out = wiki(body, remove_ref=True)
+    assert "Body." in out and "After." in out and "## Legacy" in out and name not in out and "gone" not in out
+
+
+def test_presentation_tables_and_track_lists():
+    out = wiki("<table role=presentation><tbody><tr><td><p>A side</p></td><td><table class=wikitable><tr><th>N</th></tr><tr><td>1</td></tr></table></td></tr></tbody></table>")
+    assert "A side" in out and "| N |" in out
+    out = wiki("<ul><li><dl><dt>CD single</dt></dl></li></ul><ol><li>Track 1</li></ol>")
+    assert "**CD single**" in out and "1. Track 1" in out
+
+
+def test_commune_infobox():
+    box = (
+        "<table class='infobox'><tbody><tr><td colspan=2>Name</td></tr><tr><th>Pays</th><td>France</td></tr><tr><td colspan=2><div><table class='DebutCarte'><tr><td><img alt='Map' src='m.jpg' width=280>"
+        "<img src='pin.svg' width=16></td></tr></table></div></td></tr><tr><td colspan=2></td></tr></tbody></table>"
+    )
+    out = wiki(box)
+    rows = [x for x in out.split("\n") if x.startswith("|")]
+    assert len({x.count("|") for x in rows}) == 1 and "![Map]" in out and "pin" not in out and "| Pays | France |" in rows
+
+
 def test_metadata():
     page = """<head><title>T | Site</title><meta property="og:title" content="OG"><meta name="author" content="N"><script type="application/ld+json">[{"headline": "H", "name": "x", "author": {"name": "A"}}]</script></head>
     <h2 class="post-title">second</h2><time datetime="2024">x</time>"""
