@@ -88,6 +88,8 @@ def test_label_merge(spark):
     assert json.loads(got[B].info)["info_addtional"] == ["{}"] and got[A].n_rows == 2
     assert [(r.image_id, r.first_data, r.duplicate_data) for r in dedup.data_conflicts(labels).collect()] == [(B, "d1", "d2")]
     assert dedup.merge_labels(labels.limit(0)).count() == 0
+    assert json.loads({r.id: r for r in dedup.merge_labels(labels, inline=0).collect()}[A].info)["info_addtional"] == [] and got[A].n_variants == 2
+    assert sorted(r.id for r in dedup.long_variants(labels, inline=0).collect()) == [A, A, B, B] and dedup.long_variants(labels).count() == 0
     single = dedup.merge_labels(labels.where("pos = 0")).first()
     assert json.loads(single.info)["info_addtional"] == []
 
