@@ -45,14 +45,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_OWN: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or an own one where it is unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="millrace-")
-        atexit.register(shutil.rmtree, d, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if d:
+        return d
+    app = spark.sparkContext.applicationId
+    if app not in _OWN:
+        _OWN[app] = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
+    return _OWN[app]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
