@@ -375,11 +375,15 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
 
         def hub(box: int) -> int:
             if box not in node:
-                node[box] = len(unary)
-                unary.append(0.0)
-                p = parents[box]
-                if p > 0:
-                    edges[(hub(p), node[box])] = UP
+                at = box
+                while at > 0 and at not in node:
+                    node[at] = len(unary)
+                    unary.append(0.0)
+                    at = parents[at]
+                at = box
+                while (p := parents[at]) > 0 and (node[p], node[at]) not in edges:
+                    edges[(node[p], node[at])] = UP
+                    at = p
             return node[box]
 
         for i, ln in enumerate(lines):

@@ -143,19 +143,24 @@ class Reader:
         got = self.memo.get((seq, scripts))
         if got is not None:
             return got
-        best: dict[tuple[str, str], tuple[float, str]] = {("", " "): (0.0, "")}
+        # per letter: (value, script, letter, place of the best state before)
+        steps: list[list[tuple[float, str, str, int]]] = [[(0.0, "", " ", -1)]]
         for ch in seq:
-            opts = [o for o in _options(ch) if o[0] in scripts or o[0] == "-"] or _options(ch)
-            now: dict[tuple[str, str], tuple[float, str]] = {}
-            for s, c in opts:
-                top = None
-                for (ps, pc), (v, path) in best.items():
+            now = []
+            for s, c in [o for o in _options(ch) if o[0] in scripts or o[0] == "-"] or _options(ch):
+                top = (-math.inf, 0)
+                for i, (v, ps, pc, _) in enumerate(steps[-1]):
                     x = v + self.score(pc, c) - (SWITCH if ps and s != "-" and ps != "-" and s != ps else 0.0)
-                    if top is None or x > top[0]:
-                        top = (x, path + c)
-                now[(s, c)] = top
-            best = now
-        end = max(best.items(), key=lambda kv: (kv[1][0] + self.score(kv[0][1], " "), kv[1][1]))[1][1]
+                    if x > top[0]:
+                        top = (x, i)
+                now.append((top[0], s, c, top[1]))
+            steps.append(now)
+        at = max(range(len(steps[-1])), key=lambda i: (steps[-1][i][0] + self.score(steps[-1][i][2], " "), steps[-1][i][2]))
+        letters = []
+        for step in reversed(steps[1:]):
+            letters.append(step[at][2])
+            at = step[at][3]
+        end = "".join(reversed(letters))
         if len(self.memo) > 300_000:
             self.memo.clear()
         self.memo[(seq, scripts)] = end

@@ -59,7 +59,7 @@ _MATH = (
 )
 _INLINE = (
     ("comment", re.compile(r"<!--.*?(?:-->|$)")),
-    ("ref", re.compile(r"<ref\b[^>]*?(?:/>|>.*?</ref>)", re.I)),
+    ("ref", re.compile(r"<ref\b[^<>]*?(?:/>|>[^<]*(?:<(?!ref\b|/ref>)[^<]*)*</ref>)", re.I)),
     ("code", re.compile(r"(`+)(?=[^`]).*?(?<!`)\1(?!`)")),
     ("template", re.compile(r"\{\{.*?\}\}")),
     ("image", re.compile(r"!\[[^\]]*\]\([^)\s]*(?:\s+\"[^\"]*\")?\)")),
@@ -74,6 +74,8 @@ _INLINE = (
     ("tag", re.compile(r"</?[a-zA-Z][a-zA-Z0-9]*(?:\s+[^<>]*)?/?>")),
     ("entity", re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});")),
 )
+#: What ends a token: without it in the line there is none, and no need to search from every start.
+_CLOSER = {"code": "`", "template": "}}", "image": "](", "wiki_link": "]]", "note": "[^", "quotes": "''", "strike": "~~", "entity": ";", "tag": ">"}
 _HINT = re.compile(r"[<\[{`'*_~\\&$]")
 
 
@@ -88,6 +90,8 @@ def inlines(text: str) -> list[str]:
             found.append(name)
     text = _BLOCK_TAG.sub(" ", text)
     for name, rx in _INLINE:
+        if name in _CLOSER and _CLOSER[name] not in text:
+            continue
         text, n = rx.subn(" x ", text)
         if n:
             found.append(name)

@@ -140,7 +140,11 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vectors(df: DataFrame, doc_id: Column, said: Column, text: Column) -> DataFrame:
-    """(doc_id, lang, x0..x5): the feature vector of every document that shows a word."""
+    """(doc_id, lang, x0..x5): the feature vector of every document that shows a word.
+
+    Null, empty and blank texts, and texts of nothing but titles and front matter, have none and are
+    never spam. A null or odd language is worked out from the text. Repeated rows have equal vectors.
+    """
     rows = df.select(doc_id.cast("long").alias("doc_id"), said.alias("said"), text.alias("text")).where(F.col("text").rlike(r"\S"))
     return rows.mapInArrow(_vectors, "doc_id long, lang string, " + ", ".join(f"x{k} double" for k in range(D)))
 

@@ -83,3 +83,10 @@ def test_held_out_accuracy():
                 right += (score > 0) == label
                 total += 1
     assert right >= 0.95 * total
+
+
+def test_deep_and_broken_pages():
+    deep = "<div>" * 5000 + "\n<h1>T</h1>\n" + SENTENCE + "\n" + "</div>" * 5000
+    assert furniture(deep) == []
+    for odd in ("<", "<div", "<!-- ", "<script>x", "</p></div>" * 50, "<a href='x" * 200, "&#xZZ; &bogus;", "<p>" * 3000 + "x"):
+        furniture(odd)

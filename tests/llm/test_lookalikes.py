@@ -47,6 +47,10 @@ def test_any_spelling_has_one_form(t, data):
     assert same(t, other)
 
 
+def test_one_long_token():
+    assert READER.form("рекa" * 30_000) == "река" * 30_000
+
+
 def pairs(spark, rows):
     df = spark.createDataFrame(rows, "pos long, data string, look string")
     return sorted((r.pos_a, r.pos_b) for r in L.same_look_pairs(L.looks(df, "pos", "data")).collect())

@@ -1,3 +1,5 @@
+import time
+
 from pyspark.sql import functions as F
 
 from millrace.llm import markup as M
@@ -62,3 +64,10 @@ def test_rows(spark):
     assert got == [(1, 0, "heading"), (1, 1, "inline"), (2, 0, "list_item"), (5, 0, "heading"), (5, 1, "inline"), (6, 0, "inline")]
     assert {r.pos: r.text for r in M.clean_text(df.where("pos < 3"), *cols).collect()} == {1: "# H\n\nx y", 2: "- a"}
     assert M.markup_cases(df.limit(0), *cols).count() == 0
+
+
+def test_hostile_lines_end_soon():
+    began = time.time()
+    for piece in ("<ref>", "{{", "[[", "**", "''", "`", "$", "<!--", "[", "![", "\\\\textbf{", "~~", "<b ", "&"):
+        list(M.cases(M.infer([], piece * 20_000), piece * 20_000))
+    assert time.time() - began < 60
