@@ -81,8 +81,14 @@ def orphan_references(refs: DataFrame, lives: DataFrame) -> DataFrame:
 
 
 def orphan_report(refs: DataFrame, orphans: DataFrame, period: str = "month") -> DataFrame:
-    """References and orphans per source table, referenced table and period of the load time."""
-    names = ("src_table", "ref_table", F.date_format(F.date_trunc(period, "at"), "yyyy-MM").alias("period"))
+    """References and orphans per source table, referenced table and period of the load time.
+
+    ``period`` is a unit of ``date_trunc`` of a day or longer. References without a load time are
+    counted under a null period.
+    """
+    utc = F.to_utc_timestamp("at", F.current_timezone())  # periods are UTC, whatever zone the session shows
+    shape = {"year": "yyyy", "month": "yyyy-MM"}.get(period, "yyyy-MM-dd")
+    names = ("src_table", "ref_table", F.date_format(F.date_trunc(period, utc), shape).alias("period"))
     both = refs.select(*names, F.lit(0).alias("o")).unionByName(orphans.select(*names, F.lit(1).alias("o")))
     return both.groupBy("src_table", "ref_table", "period").agg(
         F.sum(1 - F.col("o")).cast("long").alias("n_references"), F.sum("o").cast("long").alias("n_orphans")

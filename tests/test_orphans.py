@@ -50,6 +50,12 @@ def test_references_and_report(spark):
     assert sorted((x.src_pos, x.ref_id) for x in r.collect()) == [(1, "x"), (1, "y")]
     rep = orphans.orphan_report(r, r.where("ref_id = 'x'")).collect()
     assert [(x.period, x.n_references, x.n_orphans) for x in rep] == [("2024-01", 2, 1)]
+    edge = r.withColumn("at", F.expr("timestamp'2024-01-31 23:30:00Z'"))
+    for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = {p: [x.period for x in orphans.orphan_report(edge, edge, p).collect()] for p in ("month", "week", "year")}
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == {"month": ["2024-01"], "week": ["2024-01-29"], "year": ["2024"]}
 
 
 def test_strict_objects_and_ids(spark):
