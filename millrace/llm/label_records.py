@@ -52,7 +52,7 @@ def instant(text: Column) -> Column:
     t = F.trim(text)
     n = F.when(t.rlike(r"^-?\d{1,15}(\.\d+)?$"), t.cast("double"))
     micros = F.when(F.abs(n) >= 1e11, n * 1e3).otherwise(n * 1e6)
-    iso = F.when(t.rlike(r"^\d{4}-"), F.unix_micros(F.expr("try_cast(trim(crawl_time) as timestamp)")))
+    iso = F.when(t.rlike(r"^\d{4}-"), F.unix_micros(t.try_cast("timestamp")))
     return F.coalesce(F.round(micros).cast("long"), iso)
 
 

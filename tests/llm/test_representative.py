@@ -65,7 +65,7 @@ def test_search_prunes_to_the_same_answer():
 
 
 def column(spark, values, f):
-    return [r.x for r in spark.createDataFrame([(v,) for v in values], "crawl_time string").select(f(F.col("crawl_time")).alias("x")).collect()]
+    return [r.x for r in spark.createDataFrame([(v,) for v in values], "v string").select(f(F.col("v")).alias("x")).collect()]
 
 
 def test_usable_values(spark):
