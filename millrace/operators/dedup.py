@@ -154,41 +154,36 @@ def _merge_info(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"pos": b["pos"], "id": b["id"], "info": out, "data": b["data"], "tags": b["tags"], "n_rows": b["n_rows"], "n_variants": b["n_variants"]})
 
 
-#: Most other variants that a merged label keeps inside its own info. Spark limits ranks before the
-#: shuffle up to 1000 (``spark.sql.optimizer.windowGroupLimitThreshold``).
-INLINE = 500
-
-
-def merge_labels(labels: DataFrame, strict: bool = True, inline: int = INLINE) -> DataFrame:
-    """One row per id: first data, tags in order, the first info with the other variants under
+def merge_labels(labels: DataFrame, strict: bool = True, inline: int | None = None) -> DataFrame:
+    """One row per id: first data, tags in order, the first info with all other variants under
     ``info_addtional`` as JSON strings (O057).
 
     ``pos`` is the first position; rows without an id belong to no group. With ``strict`` a first row
-    with broken info fails the job; without it counts as an empty object. An id with more than
-    ``inline`` other variants has an empty list there: all its variants are the rows of
-    ``info_variants``, which stay spread over the cluster, while a cell has to fit into a task.
-    ``n_variants`` tells the number for every id.
+    with broken info fails the job; without it counts as an empty object. All variants of an id are
+    one cell, so the largest id has to fit into a task. A caller that can't afford this may give
+    ``inline``: ids with more other variants have an empty list then, and ``long_variants`` has
+    theirs as rows. ``n_variants`` tells the number for every id.
     """
     labels = labels.where("id is not null")
     head = labels.groupBy("id").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_rows"), F.min_by(F.struct("info", "data"), "pos").alias("first"))
-    variants = info_variants(labels)
-    digests = labels.select("id", F.unhex(F.md5(canonical_info("info"))).alias("d")).distinct()
-    counts = digests.groupBy("id").agg(F.count(F.lit(1)).alias("n_variants"))
-    # Spark limits the rank before the shuffle too, so no id sends more than its first few variants from a task
-    nth = F.row_number().over(Window.partitionBy("id").orderBy("first_pos"))
-    near = variants.withColumn("nth", nth).where(F.col("nth") <= inline + 2).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("nth", "variant"))).alias("v"))
-    lists = near.where(F.size("v").between(2, inline + 1)).select("id", F.slice(F.col("v.variant"), 2, inline + 1).alias("more"))
-    rows = head.join(counts.select("id", "n_variants"), "id").join(lists, "id", "left").join(merged_tags(labels), "id", "left")
+    variants = info_variants(labels).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("first_pos", "variant"))).alias("v"))
+    more = F.slice(F.col("v.variant"), 2, F.size("v"))
+    if inline is not None:
+        more = F.when(F.size("v") <= inline + 1, more)
+    lists = variants.select("id", F.size("v").alias("n_variants"), more.alias("more"))
+    rows = head.join(lists, "id").join(merged_tags(labels), "id", "left")
     info = F.col("first.info") if strict else F.when(jsonx.is_object(F.col("first.info")), F.col("first.info")).otherwise("{}")
     rows = rows.select(
         "pos", "id", info.alias("info"), "more", F.coalesce("first.data", F.lit("")).alias("data"),
-        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "n_rows", F.col("n_variants").cast("int").alias("n_variants"),
+        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "n_rows", "n_variants",
     )
     return rows.mapInPandas(_merge_info, "pos long, id string, info string, data string, tags array<string>, n_rows long, n_variants int")
 
 
-def long_variants(labels: DataFrame, inline: int = INLINE) -> DataFrame:
-    """The variants of the ids that have too many to be kept inline, a row each."""
+def long_variants(labels: DataFrame, inline: int | None = None) -> DataFrame:
+    """The variants of the ids that have too many to be kept inline, a row each; none without a limit."""
     variants = info_variants(labels.where("id is not null"))
+    if inline is None:
+        return variants.limit(0)
     long = variants.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > inline + 1).select("id")
     return variants.join(long, "id", "left_semi")

@@ -72,7 +72,6 @@ def localized(ds: Dataset, strict: bool = True) -> tuple[Dataset, dict[str, Data
         "image_id_unmatched_warning": got.unmatched,
         "images_sha256_conflict": dedup.hash_conflicts(ds.images),
         "image_labels_data_conflict": dedup.data_conflicts(ds.image_labels),
-        "image_labels_long_variants": dedup.long_variants(ds.image_labels),
     }
     return Dataset(text, dedup.keep_first(ds.images), labels), side, got
 

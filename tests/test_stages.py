@@ -94,6 +94,13 @@ def test_label_merge(spark):
     assert json.loads(single.info)["info_addtional"] == []
 
 
+def test_label_merge_keeps_every_variant_of_a_hot_id(spark):
+    df = spark.range(1500).selectExpr("id as pos", "if(id < 1200, 'hot', 'cold') as id", """concat('{"width": ', id % 700, '}') as info""", "'' as data", "cast(null as array<string>) as tags")
+    got = {r.id: r for r in dedup.merge_labels(df).collect()}
+    widths = {k: [json.loads(x)["width"] for x in json.loads(r.info)["info_addtional"]] for k, r in got.items()}
+    assert widths == {"hot": list(range(1, 700)), "cold": [*range(501, 700), *range(100)]} and (got["hot"].n_variants, got["cold"].n_variants) == (700, 300)
+
+
 def test_broken_first_info_fails_unless_asked(spark):
     df = spark.createDataFrame([(0, "i", "{x", "", [])], "pos long, id string, info string, data string, tags array<string>")
     with pytest.raises(Exception, match="JSONDecodeError|Expecting"):
