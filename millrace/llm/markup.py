@@ -14,9 +14,13 @@ every body through the wrapper of its host:
 * wrappers of parts of a host merge by aligning wrapper with wrapper, so a host holding a third of
   all rows is inferred in parts and merged in a tree.
 
-Reading a body matches its segments against the group; the matched node gives the meaning. That
-settles what a surface form alone leaves open: ``# x`` matched by a repeated token is an item of a
-numbered wiki list, matched by a single one it is a Markdown heading.
+Nodes keep *evidence*, summed over all bodies of the host: how often they were met, at which levels,
+and how often with each inline token. Reading a body matches its segments against the group, and the
+matched node alone gives role and inline tokens; what the wrapper doesn't know is running text.
+
+Evidence settles what a surface form leaves open, which is ``#``: an item of a numbered wiki list or
+a Markdown heading. A line by itself is a heading and a run of lines a list, unless the host uses the
+form otherwise (see ``meanings``). All other forms mean the same in every host.
 """
 
 from __future__ import annotations
@@ -24,6 +28,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -192,8 +197,9 @@ def lex(data: str) -> list[tuple]:
 
 # --- wrapper inference ---------------------------------------------------------------------------
 # A wrapper is a list of nodes [symbol, slot], all optional, inside one repeated group; symbol ends
-# with "+" where the token repeats; slot is the list of inline tokens of its text, all optional,
-# inside a repeated group of their own.
+# with "+" where the token repeats; slot has the inline tokens of its text, all optional, inside a
+# repeated group of their own, as a count by token. Beside them it counts "turns", the times the node
+# was met, and the lines of each "level N" of "#".
 
 
 def segments(tokens: list[tuple]) -> list[list[tuple[str, list[tuple]]]]:
@@ -204,7 +210,8 @@ def segments(tokens: list[tuple]) -> list[list[tuple[str, list[tuple]]]]:
         j = i + 1
         while j < len(tokens) and tokens[j][2] == tokens[i][2] and (tokens[i][2] != "hash" or tokens[j][0] == tokens[j - 1][1] + 1):
             j += 1
-        segs[-1].append((tokens[i][2] + ("+" if j - i > 1 else ""), tokens[i:j]))
+        deep = tokens[i][2] == "hash" and any(t[3] > 1 for t in tokens[i:j])
+        segs[-1].append((tokens[i][2] + (("_deep+" if deep else "+") if j - i > 1 else ""), tokens[i:j]))
         if tokens[i][2] == "text":
             segs.append([])
         i = j
@@ -242,46 +249,32 @@ def _merged(known: list, new: list, key, join) -> list:
     return out
 
 
-def _slot(a: list[str], b: list[str]) -> list[str]:
-    """Inline tokens of a slot; each is optional in a repeated group, so their order is free."""
-    return [*a, *(x for x in b if x not in a)]
-
-
-def _covers(wrapper: list, seq: list) -> bool:
-    """True if the nodes of ``seq`` appear in order and their slots hold its inline tokens."""
-    i = 0
-    for sym, slot in seq:
-        while i < len(wrapper) and wrapper[i][0] != sym:
-            i += 1
-        if i == len(wrapper) or any(x not in wrapper[i][1] for x in slot):
-            return False
-        i += 1
-    return True
+def _slot(a: dict[str, int], b: dict[str, int]) -> dict[str, int]:
+    """Inline tokens and evidence of both; each token is optional in a repeated group, so their order is free."""
+    return a | {x: a.get(x, 0) + n for x, n in b.items()}
 
 
 def align(wrapper: list, seq: list) -> list:
-    """The least generalisation of the group that also reads ``seq``."""
-    if _covers(wrapper, seq):
-        return wrapper
-    have = {sym for sym, _ in wrapper}
-    if not {sym for sym, _ in seq} - have:  # a change of order is read by another turn of the group
-        slots: dict[str, list[str]] = {}
-        for sym, slot in seq:
-            slots[sym] = _slot(slots.get(sym, []), slot)
-        return [[sym, _slot(slot, slots.get(sym, []))] for sym, slot in wrapper]
+    """The least generalisation of the group that also reads ``seq``, with the evidence of both."""
+    slots: dict[str, dict[str, int]] = {}
+    for sym, slot in seq:
+        slots[sym] = _slot(slots.get(sym, {}), slot)
+    if not slots.keys() - {sym for sym, _ in wrapper}:  # a change of order is read by another turn of the group
+        return [[sym, _slot(slot, slots[sym]) if sym in slots else slot] for sym, slot in wrapper]
     known = _merged(wrapper, seq, lambda x: x[0], lambda x, y: [x[0], _slot(x[1], y[1])])
     out, seen = [], {}
     for sym, slot in known:  # a node twice in the group is one node and another turn
         if sym in seen:
             seen[sym][1] = _slot(seen[sym][1], slot)
         else:
-            seen[sym] = [sym, list(slot)]
+            seen[sym] = [sym, dict(slot)]
             out.append(seen[sym])
     return out
 
 
 def _nodes(seg: list[tuple[str, list[tuple]]]) -> list:
-    return [[sym, list(dict.fromkeys(x for t in toks for x in t[5]))] for sym, toks in seg]
+    levels = lambda sym, toks: [f"level {t[3]}" for t in toks] if sym.startswith("hash") else []
+    return [[sym, dict(Counter([x for t in toks for x in t[5]] + levels(sym, toks))) | {"turns": 1}] for sym, toks in seg]
 
 
 def infer(wrapper: list, data: str) -> list:
@@ -296,25 +289,48 @@ _CODE = {"fence", "code_tag", "code_env"}
 _FORMULA = {"math_env", "math_dollars", "math_bracket", "math_block"}
 
 
+#: So many times as often must a host use ``#`` in the other way before it changes what the form says.
+MUCH = 4
+
+
 def role(symbol: str) -> str:
-    """What a node of a wrapper means."""
-    base = symbol.rstrip("+")
+    """What a node means by its form alone."""
+    base = symbol.rstrip("+").removesuffix("_deep")
     if base == "hash":
         return "list_item" if symbol.endswith("+") else "heading"
     return "heading" if base in _HEADING else "list_item" if base in _ITEM else "code_block" if base in _CODE else "formula" if base in _FORMULA else "text"
 
 
+def meanings(wrapper: list) -> dict[str, str]:
+    """What each node means in the host that the wrapper was made from.
+
+    Lone ``#`` lines are list items where none is deeper than level 1, runs of such lines are much
+    more frequent and headings have another form. Runs of level 1 are headings where lone lines are
+    much more frequent, some deeper, and no heading has another form. Runs with deeper lines, ``#``
+    above ``##``, are headings where lone deeper lines outnumber the runs of level 1.
+    """
+    by = dict(wrapper)
+    means = {sym: role(sym) for sym in by}
+    lines, runs = (by.get(sym, {}).get("turns", 0) for sym in ("hash", "hash+"))
+    deep = lines - by.get("hash", {}).get("level 1", 0)
+    others = any(sym.rstrip("+") in _HEADING for sym in by)
+    if lines and not deep and others and runs >= MUCH * lines:
+        means["hash"] = "list_item"
+    if runs and deep and not others and lines >= MUCH * runs:
+        means["hash+"] = "heading"
+    if "hash_deep+" in by and deep > runs:
+        means["hash_deep+"] = "heading"
+    return means
+
+
 def read(wrapper: list, data: str) -> Iterator[tuple[tuple, str, list[str]]]:
     """Match a body with its wrapper: (token, role of its node, inline tokens of the slot)."""
-    toks = lex(data)
-    for seg in segments(toks):
-        nodes = _nodes(seg)
-        if not _reads(wrapper, nodes):
-            wrapper = align(wrapper, nodes)  # a body the wrapper was not made from
-        by = {sym: slot for sym, slot in wrapper}
+    by, means = dict(wrapper), meanings(wrapper)
+    for seg in segments(lex(data)):
         for sym, items in seg:
+            slot = by.get(sym, {})
             for t in items:
-                yield t, role(sym), [x for x in t[5] if x in by[sym]]
+                yield t, means.get(sym, "text"), [x for x in t[5] if x in slot]
 
 
 def _reads(wrapper: list, seq: list) -> bool:
@@ -427,13 +443,13 @@ def _merge_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(rows: DataFrame) -> DataFrame:
     """(host, wrapper as JSON) from (host, data) rows: partial inference, then two rounds of merging.
 
-    Partial wrappers are as small as the alphabet of tokens; equal ones fold before they are
-    gathered, so a host spread over every partition merges a few distinct wrappers.
+    Partial wrappers are as small as the alphabet of tokens, one per partition and host. Equal ones
+    are all kept, as each brings evidence of its own.
     """
     parts = rows.select("host", "data").mapInArrow(_infer_parts, "host string, wrapper string")
-    salted = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(32)).alias("salt")).agg(F.collect_set("wrapper").alias("parts"))
+    salted = parts.groupBy("host", F.pmod(F.xxhash64("wrapper"), F.lit(32)).alias("salt")).agg(F.collect_list("wrapper").alias("parts"))
     once = salted.select("host", "parts").mapInArrow(_merge_parts, "host string, wrapper string")
-    return once.groupBy("host").agg(F.collect_set("wrapper").alias("parts")).mapInArrow(_merge_parts, "host string, wrapper string")
+    return once.groupBy("host").agg(F.collect_list("wrapper").alias("parts")).mapInArrow(_merge_parts, "host string, wrapper string")
 
 
 def _reader(make, names: list[str]):

@@ -1,3 +1,4 @@
+import json
 import time
 
 from pyspark.sql import functions as F
@@ -66,6 +67,34 @@ def test_rows(spark):
     assert M.markup_cases(df.limit(0), *cols).count() == 0
 
 
+WIKI = ["== A ==\n# x 1\n# y 2\np"] * 8
+MARKDOWN = ["# A\np\n\n## B\np"] * 8
+
+
+def test_another_wrapper_gives_another_reading():
+    texts = ["p\n\n# only ''one''\n\np", "# a\n## b\n\np", "# a\n# b\n\np"]
+    wiki, md = [], []
+    for w in [*WIKI, *texts[:2]]:
+        wiki = M.infer(wiki, w)
+    for w in [*MARKDOWN, *texts]:
+        md = M.infer(md, w)
+    assert list(M.cases(wiki, texts[0])) == [(2, "list_item"), (2, "inline")] and list(M.cases(md, texts[0])) == [(2, "heading")]
+    assert M.clean(wiki, texts[0]) == "p\n\n- only one\n\np" and M.clean(md, texts[0]) == "p\n\n# only one\n\np"
+    assert list(M.cases(wiki, texts[1])) == [(0, "list_item"), (1, "list_item")] and list(M.cases(md, texts[1])) == [(0, "heading"), (1, "heading")]
+    assert list(M.cases(wiki, texts[2])) == [(0, "list_item"), (1, "list_item")] and list(M.cases(md, texts[2])) == [(0, "heading"), (1, "heading")]
+    assert list(M.cases([], texts[0])) == []
+
+
+def test_evidence_is_summed_over_partitions(spark):
+    text = "p\n\n# only\n\np"
+    rows = [(i, h, d) for h, bodies in (("w", WIKI), ("m", MARKDOWN)) for i, d in enumerate([*bodies, text])]
+    df = spark.createDataFrame(rows, "pos long, host string, data string").repartition(9, "pos")
+    turns = {r.host: {sym: slot["turns"] for sym, slot in json.loads(r.wrapper)} for r in M.wrappers(df).collect()}
+    assert turns == {"w": {"equals": 8, "hash+": 8, "hash": 1, "text": 10}, "m": {"hash": 17, "text": 18}}
+    got = M.markup_cases(df, F.col("pos"), F.col("host"), F.col("data")).where("pos = 8").collect()
+    assert sorted(r.kind for r in got) == ["heading", "list_item"]
+
+
 def test_hostile_lines_end_soon():
     began = time.time()
     for piece in ("<ref>", "{{", "[[", "**", "''", "`", "$", "<!--", "[", "![", "\\\\textbf{", "~~", "<b ", "&"):
