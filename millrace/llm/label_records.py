@@ -85,7 +85,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The surviving record of every image; its size is one seen beside its url, where any was."""
+    """The surviving record of every image; its size is one seen beside its url, where any was seen beside a usable url, else the best usable one."""
     f = features(spark, sf_dir)
     won = representative.choose(
         f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), _usable(), deps=[("url", "size")], values={"url": F.col("url")}

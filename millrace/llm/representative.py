@@ -2,7 +2,8 @@
 
 Fields that only make sense together form a *bundle* and are taken whole from one row (width with
 height). Functional dependencies between bundles restrict the choice further: with ``("url", "size")``
-the surviving size must have been seen beside the surviving url, if any usable size was. Among the
+the surviving size must have been seen beside the surviving url, if any usable size of the group was
+seen beside a usable url. Where none was, the size is free and its best usable row counts. Among the
 allowed combinations the one with the most filled bundles, then the highest summed trust, then the
 latest times, then the smallest positions wins. The combination is found by branch and bound:
 
@@ -39,7 +40,8 @@ def solve(candidates: dict[str, list[tuple]], deps: list[tuple[str, str]]) -> di
     """Branch and bound for one group.
 
     ``candidates``: bundle -> [(trust, at, pos, sig)]; ``sig`` is the determining value the
-    candidate belongs to (its own for a determining bundle). Returns bundle -> pos.
+    candidate belongs to (its own for a determining bundle). A bundle without a candidate of any
+    determining value is free. Returns bundle -> pos.
     """
     parent = {b: a for a, b in deps}
     order: list[str] = []
@@ -53,6 +55,7 @@ def solve(candidates: dict[str, list[tuple]], deps: list[tuple[str, str]]) -> di
     for n in reversed(order):
         rest.append(tuple(map(sum, zip(rest[-1], score(ranked[n][0])))))
     rest.reverse()  # rest[i]: the most that order[i:] can add
+    tied = {n for n in order if parent.get(n) in candidates and {c[3] for c in candidates[n]} & {c[3] for c in candidates[parent[n]]}}
     best: list = [None, {}]
 
     def walk(i: int, have: tuple, taken: dict) -> None:
@@ -63,7 +66,7 @@ def solve(candidates: dict[str, list[tuple]], deps: list[tuple[str, str]]) -> di
             return
         n = order[i]
         p = parent.get(n)
-        options = ranked[n] if p not in taken else [c for c in ranked[n] if c[3] == taken[p][3]]
+        options = ranked[n] if n not in tied or p not in taken else [c for c in ranked[n] if c[3] == taken[p][3]]
         for c in options:
             taken[n] = c
             walk(i + 1, tuple(map(sum, zip(have, score(c)))), taken)
@@ -98,9 +101,11 @@ def _bounded(cands: DataFrame, deps: list[tuple[str, str]]) -> DataFrame:
 
     Per group one row of aggregates is joined back: the best complete combination known (a determining
     value with the best of its dependents) and the best of each dependent bundle under any value.
+    A dependent bundle never seen beside a determining value is free: its best row is kept and adds
+    the same to every combination.
     """
     ranks = ("n", "trust", "at", "neg_pos")
-    total = lambda *s: F.struct(*[sum(x[f] for x in s) for f in ranks])
+    total = lambda *s: F.struct(*[sum(x[f] for x in s).alias(f) for f in ranks])
     zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"))
     chained = {b for _, b in deps} & {a for a, _ in deps}
     for det in sorted({a for a, _ in deps}):
@@ -111,10 +116,14 @@ def _bounded(cands: DataFrame, deps: list[tuple[str, str]]) -> DataFrame:
         mine = cands.where(F.col("bundle").isin(det, *below))
         per = mine.groupBy("key", "sig").agg(*[F.max(F.when(F.col("bundle") == n, s)).alias(n) for n in (det, *below)])
         low = F.when(F.col(det).isNotNull(), total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]))
-        top = per.groupBy(F.col("key").alias("k")).agg(F.max(low).alias("known"), *[F.max(b).alias(f"top_{b}") for b in below])
-        up = total(F.col(det), *[F.coalesce(F.col(f"top_{b}"), zero) for b in below])
-        kept = per.join(top, F.col("key") == F.col("k")).where(F.col("known").isNull() | (F.col(det).isNotNull() & (up >= F.col("known"))))
-        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(n).alias("s")) for n in (det, *below)]))
+        top = per.groupBy(F.col("key").alias("k")).agg(F.max(low).alias("known"), *[F.max(b).alias(f"top_{b}") for b in below],
+            *[F.max(F.when(F.col(det).isNotNull(), F.col(b))).alias(f"beside_{b}") for b in below])
+        free = {b: F.col(f"beside_{b}").isNull() for b in below}
+        known = total(F.col("known"), *[F.when(free[b], F.coalesce(F.col(f"top_{b}"), zero)).otherwise(zero) for b in below])
+        up = total(F.col(det), *[F.coalesce(F.col(f"beside_{b}"), F.col(f"top_{b}"), zero) for b in below])
+        kept = per.join(top, F.col("key") == F.col("k")).where(F.col(det).isNull() | (up >= known))
+        value = {det: F.col(det)} | {b: F.when(F.col(det).isNotNull() | free[b], F.col(b)) for b in below}
+        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), v.alias("s")) for n, v in value.items()]))
         again = kept.select("key", "sig", offers.alias("o")).where("o.s is not null").select("key", "o.bundle", "sig", "o.s.trust", "o.s.at", "o.s.neg_pos")
         cands = cands.where(~F.col("bundle").isin(det, *below)).unionByName(again)
     return cands

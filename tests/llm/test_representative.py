@@ -52,6 +52,19 @@ def test_against_brute_force(spark):
         assert choose(spark, rows, deps) == brute(rows, deps)
 
 
+def test_size_survives_where_none_was_seen_beside_a_url(spark):
+    rows = [("g", 1, 5, 7, "x", None, "z"), ("g", 2, 9, 7, "y", None, "z"), ("g", 3, 1, 7, None, "u", "z"), ("g", 4, 2, 7, None, "v", "z")]
+    rows += [("h", 5, 1, 7, "x", "u", "z"), ("h", 6, 9, 7, "y", None, "z"), ("h", 7, 9, 7, None, "v", "z"), ("i", 8, 1, 7, None, "u", "z")]
+    want = {("g", "a"): 2, ("g", "b"): 4, ("h", "a"): 5, ("h", "b"): 5, ("i", "b"): 8}
+    assert choose(spark, rows, [("a", "b")]) == want
+    rng = random.Random(5)
+    rows = [(f"k{rng.randrange(150)}", i, rng.choice([None, 1, 2, 9]), rng.choice([None, 5, 6]), rng.choice([None, None, "x", "y"]), rng.choice([None, None, "u"]), "c") for i in range(600)]
+    tied = {r[0] for r in rows if r[4] is not None and r[5] is not None}
+    free = [r for r in rows if r[0] not in tied]
+    assert 20 < len({r[0] for r in free} & {r[0] for r in free if r[4]} & {r[0] for r in free if r[5]})
+    assert choose(spark, rows, [("a", "b")]) == brute([r for r in rows if r[0] in tied], [("a", "b")]) | brute(free, None)
+
+
 def test_hot_group(spark):
     df = spark.range(20000).selectExpr("'hot' as k", "id as pos", "cast(id % 7 as int) as trust", "id % 11 as at", "cast(id % 5000 as string) as a", "if(id % 3 = 0, 'b', null) as b", "'' as key")
     usable = {"a": F.col("a").isNotNull(), "b": F.col("b").isNotNull()}
