@@ -1,4 +1,4 @@
-"""The row-wise stages on streams, and first-row deduplication with bounded state."""
+"""The row-wise stages on streams, and first-row deduplication."""
 
 from __future__ import annotations
 
@@ -17,6 +17,12 @@ def chat_stream(markdown: DataFrame, role: str = "user") -> DataFrame:
     return chat.to_chat(markdown, role)
 
 
-def first_of_each(rows: DataFrame, key: str = "id", at: str = "ingested_at", delay: str = "1 day") -> DataFrame:
-    """The first row to arrive of each key; a key is forgotten ``delay`` after its time, which bounds the state."""
+def first_of_each(rows: DataFrame, key: str = "id", at: str = "ingested_at", delay: str | None = None) -> DataFrame:
+    """The first row to arrive of each key, however late; every key stays in the state, and no other column does.
+
+    ``delay`` bounds the state for inputs in order: a key is forgotten ``delay`` after its time ``at``,
+    and rows that arrive further than that behind the newest time are lost, first rows included.
+    """
+    if delay is None:
+        return rows.dropDuplicates([key])
     return rows.withWatermark(at, delay).dropDuplicatesWithinWatermark([key])

@@ -120,3 +120,13 @@ def test_first_of_each_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("firsts").count() == 1
+
+
+def test_first_of_each_stream_keeps_late_rows(spark, tmp_path):
+    schema = "id string, pos long, ingested_at timestamp"
+    for i, rows in enumerate([["('a', 1, timestamp'2024-03-09 00:00:00')"], ["('a', 2, timestamp'2024-03-09 01:00:00')"], ["('b', 3, timestamp'2024-03-01 00:00:00')", "('a', 4, timestamp'2024-03-01 00:00:00')"]]):
+        spark.sql(f"select * from values {', '.join(rows)} as t(id, pos, ingested_at)").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q = live.first_of_each(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.format("parquet")
+        q = q.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        assert q.awaitTermination(60)
+    assert sorted((r.id, r.pos) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", 1), ("b", 3)]
