@@ -1,25 +1,31 @@
 """First row wins, and ordered merging of label rows. O051-O057.
 
-Winners are found on (id, pos) alone. The wide table is then filtered by the rows to *drop*, which
-are few: a bloom filter of bounded size lets all other rows pass where they are, and only rows that
-hit it, the repeated ones and about one in a hundred more, meet the exact list in a join. So image
-bytes are not shuffled, whatever the size of the table.
+Winners are found on (id, pos) alone. The rows to drop are then written as one short list of row
+numbers per file of the wide table, and the wide table is filtered where it is read, each task with
+the list of its own file. So image bytes are read once and never shuffled, and nothing reaches the
+driver, however many rows are repeated.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
-import zlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.fs
+import pyarrow.parquet as pq
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import jsonx
+from millrace.operators.ranking import ranked
+from millrace.sources.tables import shared_dir
 
 BUCKET = 1_000_000
 
@@ -43,8 +49,12 @@ def first_seen_order(df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def row_positions(df: DataFrame, key: str = "id") -> DataFrame:
-    """(key, pos, nth): every row's number within its key (O052), as rows, not as lists."""
-    return df.select(key, "pos", F.row_number().over(Window.partitionBy(key).orderBy("pos")).alias("nth"))
+    """(key, pos, nth): every row's number within its key (O052), as rows, not as lists.
+
+    A hot key is numbered in ranges of positions, each in a task of its own.
+    """
+    rows = ranked(df.select(key, "pos"), [key], F.floor(F.col("pos") / BUCKET), "pos")
+    return rows.select(key, "pos", (F.col("rank") + 1).cast("int").alias("nth"))
 
 
 def repeated_rows(df: DataFrame, key: str = "id") -> DataFrame:
@@ -53,44 +63,41 @@ def repeated_rows(df: DataFrame, key: str = "id") -> DataFrame:
     return df.select(key, "pos").join(again, key).where("pos > first_pos").select("pos")
 
 
-#: Bits of the filter: 16 MB at most on the driver and in each worker.
-BLOOM_BITS = 1 << 27
-_SEEDS = (11, 23)
-
+def keep_first(df: DataFrame, key: str = "id") -> DataFrame:
+    """``df`` without repeated rows (O055).
 
-def _places(bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(F.lit(s), F.col("pos")), F.lit(bits)) for s in _SEEDS]
-
-
-def keep_first(df: DataFrame, key: str = "id", bits: int = BLOOM_BITS) -> DataFrame:
-    """``df`` without repeated rows (O055). A full filter only sends more rows through the exact join."""
-    drop = repeated_rows(df, key)
-    at = F.explode(F.array(*_places(bits)))
-    words = drop.select(at.alias("b")).groupBy(F.floor(F.col("b") / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(b, 64) as int))")).alias("v"))
-    known = {r["w"]: r["v"] for r in words.collect()}  # at most bits / 64 numbers
-    if not known:
-        return df
-    filled = np.zeros(bits // 64, dtype=np.uint64)
-    filled[np.fromiter(known.keys(), dtype=np.int64)] = np.fromiter((v & (2**64 - 1) for v in known.values()), dtype=np.uint64)
-    packed = zlib.compress(filled.tobytes(), 1)
+    A table read from files is filtered in its scan, by row numbers; the lists are in the shared
+    folder, which the Python workers read with pyarrow. Any other frame meets the list in a join on
+    ``pos``, which shuffles it.
+    """
+    try:
+        rows = df.select(key, "pos", F.md5(F.col("_metadata.file_path").cast("binary")).alias("f"), F.col("_metadata.row_index").alias("row"))
+        wide = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_row", F.col("_metadata.row_index"))
+    except AnalysisException:
+        return df.join(repeated_rows(df, key), "pos", "left_anti").select(*df.columns)
+    again = first_rows(df.select(key, "pos"), key).where("n_rows > 1").select(F.col(key).alias("k"), "first_pos")
+    drop = rows.join(again, (F.col(key) == F.col("k")) & (F.col("pos") > F.col("first_pos"))).select("f", "row")
+    store = f"{shared_dir(df.sparkSession)}/repeats-{uuid.uuid4().hex}"
+    drop.repartition("f").write.partitionBy("f").parquet(store)
 
     @F.pandas_udf(T.BooleanType())
-    def hit(a: pd.Series, b: pd.Series) -> pd.Series:
-        table = _unpacked(packed)
-        out = np.ones(len(a), dtype=bool)
-        for x in (a.to_numpy(), b.to_numpy()):
-            out &= (table[x >> 6] >> (x & 63).astype(np.uint64)) & np.uint64(1) == 1
+    def first(file: pd.Series, row: pd.Series) -> pd.Series:
+        out = np.ones(len(row), dtype=bool)
+        for f in file.unique():
+            lost = _repeats(store, hashlib.md5(f.encode()).hexdigest())
+            out &= ~((file == f).to_numpy() & np.isin(row.to_numpy(), lost))
         return pd.Series(out)
 
-    maybe = hit(*_places(bits))
-    marked = df.withColumn("_maybe", maybe)
-    sure = marked.where("not _maybe").drop("_maybe")
-    return sure.unionByName(marked.where("_maybe").drop("_maybe").join(drop, "pos", "left_anti").select(*df.columns))
+    return wide.where(first("_file", "_row")).select(*df.columns)
 
 
-@functools.lru_cache(2)
-def _unpacked(packed: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(packed), dtype=np.uint64)
+@functools.lru_cache(4)
+def _repeats(store: str, file: str) -> np.ndarray:
+    """Row numbers of a file that are repeated rows; as many as the file has rows at most."""
+    fs, path = pyarrow.fs.FileSystem.from_uri(store) if "://" in store else (pyarrow.fs.LocalFileSystem(), store.removeprefix("file:"))
+    found = fs.get_file_info(pyarrow.fs.FileSelector(f"{path}/f={file}", allow_not_found=True))
+    parts = [pq.read_table(x.path, columns=["row"], filesystem=fs).column("row").to_numpy() for x in found if x.path.endswith(".parquet")]
+    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.int64)
 
 
 def hash_conflicts(images: DataFrame) -> DataFrame:
@@ -143,6 +150,10 @@ def info_variants(labels: DataFrame) -> DataFrame:
     return labels.select("id", "pos", canonical_info("info").alias("variant")).groupBy("id", "variant").agg(F.min("pos").alias("first_pos"))
 
 
+#: Other variants of an info in one row of merged labels.
+PART = 500
+
+
 def _merge_info(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         out = []
@@ -151,39 +162,38 @@ def _merge_info(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             o = o if isinstance(o, dict) else {}
             o["info_addtional"] = list(more) if more is not None else []
             out.append(json.dumps(o, ensure_ascii=False))
-        yield pd.DataFrame({"pos": b["pos"], "id": b["id"], "info": out, "data": b["data"], "tags": b["tags"], "n_rows": b["n_rows"], "n_variants": b["n_variants"]})
+        yield b.assign(info=out).drop(columns="more")
 
 
-def merge_labels(labels: DataFrame, strict: bool = True, inline: int | None = None) -> DataFrame:
-    """One row per id: first data, tags in order, the first info with all other variants under
+def merge_labels(labels: DataFrame, strict: bool = True, per_part: int = PART) -> DataFrame:
+    """One record per id: first data, tags in order, the first info with all other variants under
     ``info_addtional`` as JSON strings (O057).
 
     ``pos`` is the first position; rows without an id belong to no group. With ``strict`` a first row
-    with broken info fails the job; without it counts as an empty object. All variants of an id are
-    one cell, so the largest id has to fit into a task. A caller that can't afford this may give
-    ``inline``: ids with more other variants have an empty list then, and ``long_variants`` has
-    theirs as rows. ``n_variants`` tells the number for every id.
+    with broken info fails the job; without it counts as an empty object. The list holds the variants
+    in the order they are first met. What is beyond ``per_part`` of them follows in rows of the same
+    id with ``part`` 1, 2 ...: each has the next ``per_part`` variants as its only content and the
+    position of the first of them. So the record of any id with up to ``per_part`` other variants is
+    the row with part 0, the lists of an id in the order of ``part`` are the whole list, and no cell,
+    task or reducer holds more than ``per_part`` variants, however often an id comes. ``n_rows`` and
+    ``n_variants`` (the first one included) are the id's, and null in later parts.
     """
     labels = labels.where("id is not null")
+    variants = info_variants(labels)
     head = labels.groupBy("id").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_rows"), F.min_by(F.struct("info", "data"), "pos").alias("first"))
-    variants = info_variants(labels).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("first_pos", "variant"))).alias("v"))
-    more = F.slice(F.col("v.variant"), 2, F.size("v"))
-    if inline is not None:
-        more = F.when(F.size("v") <= inline + 1, more)
-    lists = variants.select("id", F.size("v").alias("n_variants"), more.alias("more"))
-    rows = head.join(lists, "id").join(merged_tags(labels), "id", "left")
-    info = F.col("first.info") if strict else F.when(jsonx.is_object(F.col("first.info")), F.col("first.info")).otherwise("{}")
+    counts = variants.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("n_variants"))
+    nth = ranked(variants, ["id"], F.floor(F.col("first_pos") / BUCKET), "first_pos", "variant").where("rank > 0")
+    lists = nth.groupBy("id", F.floor((F.col("rank") - 1) / per_part).cast("int").alias("part")).agg(
+        F.min("first_pos").alias("at"), F.array_sort(F.collect_list(F.struct("rank", "variant"))).alias("v")
+    )
+    lists = lists.select("id", "part", "at", F.col("v.variant").alias("more"))
+    rows = head.join(counts, "id").join(merged_tags(labels), "id", "left").withColumn("part", F.lit(0)).join(lists, ["id", "part"], "full")
+    first = F.col("first.info") if strict else F.when(jsonx.is_object(F.col("first.info")), F.col("first.info")).otherwise("{}")
     rows = rows.select(
-        "pos", "id", info.alias("info"), "more", F.coalesce("first.data", F.lit("")).alias("data"),
+        F.coalesce("pos", "at").alias("pos"), "id", "part", F.when(F.col("part") == 0, first).alias("info"), "more", F.coalesce("first.data", F.lit("")).alias("data"),
         F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "n_rows", "n_variants",
     )
-    return rows.mapInPandas(_merge_info, "pos long, id string, info string, data string, tags array<string>, n_rows long, n_variants int")
-
-
-def long_variants(labels: DataFrame, inline: int | None = None) -> DataFrame:
-    """The variants of the ids that have too many to be kept inline, a row each; none without a limit."""
-    variants = info_variants(labels.where("id is not null"))
-    if inline is None:
-        return variants.limit(0)
-    long = variants.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > inline + 1).select("id")
-    return variants.join(long, "id", "left_semi")
+    # nullable whole numbers would reach pandas as floats, so they travel as text
+    text = rows.withColumn("n_rows", F.col("n_rows").cast("string")).withColumn("n_variants", F.col("n_variants").cast("string"))
+    done = text.mapInPandas(_merge_info, "pos long, id string, part int, info string, data string, tags array<string>, n_rows string, n_variants string")
+    return done.withColumn("n_rows", F.col("n_rows").cast("long")).withColumn("n_variants", F.col("n_variants").cast("int"))

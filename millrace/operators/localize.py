@@ -1,8 +1,11 @@
 """Image references of pages rewritten to dataset-local ids. O043-O050.
 
-All joins are on narrow rows: (page, normalized url) against (normalized url, image id). Labels are
-folded to one row per image id and url first, so an image with a tenth of all label rows meets a
-page once per url. Page text moves in one join only, the last, with the map of its own references.
+Pages are read once for what they show and name, as narrow rows, and these are stored. What a page
+shows meets the labels on (image id, normalized url): each url beside each id the page names, so a
+pair of page and label that can't match never meets, however many images share a url. Labels are
+folded to one row per image id and url first, which makes them the unique side, so an image with a
+tenth of all label rows, or a logo on a third of all pages, is split by adaptive execution. Page text
+moves in one join only, the last, with the map of its own references.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import jsonx, pages, urls
+from millrace.sources.tables import materialize
 
 
 def distinct_in_order(values: Column) -> Column:
@@ -74,15 +78,13 @@ def localize(text: DataFrame, labels: DataFrame) -> Localized:
         F.coalesce(F.nullif("f.url", F.lit("")), F.nullif("f.final_url", F.lit("")), F.lit("")).alias("html_url"),
         F.coalesce(pages.img_sources(F.col("data")), F.array().cast("array<string>")).alias("sources"),
     )
-    narrow = rows.drop("data")
+    narrow = materialize(rows.drop("data"), "page-images")
     shown = narrow.select("pos", "text_id", "html_url", "ids", F.posexplode("sources").alias("k", "raw_url")).withColumn("url", urls.normalize(F.col("raw_url")))
-    named = label_urls(labels)
-    met = (
-        shown.select("pos", "url", "raw_url", "ids").distinct()
-        .join(named.select("url", "image_id", "rank"), "url")
-        .where(F.array_contains(F.col("ids"), F.col("image_id")))
-        .withColumn("place", F.struct(F.array_position(F.col("ids"), F.col("image_id")).alias("id_pos"), "rank"))
-    )
+    named = materialize(label_urls(labels), "label-urls")
+    asks = shown.select("pos", "url", "raw_url", "ids").distinct().select("pos", "url", "raw_url", F.posexplode("ids").alias("id_pos", "image_id"))
+    met = materialize(
+        asks.join(named.select("url", "image_id", "rank"), ["image_id", "url"]).select("pos", "url", "raw_url", "image_id", F.struct("id_pos", "rank").alias("place")), "pages-met"
+    )
     url_map = met.groupBy("pos", "url").agg(F.min_by("image_id", "place").alias("image_id"), F.collect_set("raw_url").alias("raws"))
     missing = shown.join(url_map.select("pos", "url"), ["pos", "url"], "left_anti").select("pos", "text_id", "html_url", F.col("raw_url").alias("image_url_raw"), F.col("url").alias("image_url_normalized"), "k")
     asked = narrow.select("pos", "text_id", "html_url", F.explode("ids").alias("image_id"))
@@ -93,8 +95,9 @@ def localize(text: DataFrame, labels: DataFrame) -> Localized:
     )
     pairs = url_map.select("pos", F.explode("raws").alias("raw"), "image_id")
     refs = pairs.groupBy("pos").agg(F.map_from_entries(F.collect_list(F.struct("raw", urls.image_ref(F.col("image_id"))))).alias("refs"))
-    done = rows.join(refs, "pos", "left")
     used = F.size(F.filter("sources", lambda s: F.coalesce(F.map_contains_key(F.col("refs"), s), F.lit(False))))
-    done = done.withColumn("new", pages.rewrite_images(F.col("data"), F.col("refs"))).withColumn("n_used", F.when(F.col("refs").isNull(), 0).otherwise(used))
-    out = done.select("pos", "text_id", F.col("ids").alias("image_ids"), F.col("new").alias("data"), (F.coalesce(F.col("new") != F.col("data"), F.lit(False))).alias("rewritten"), F.col("n_used").cast("long").alias("n_used"))
+    page = narrow.select("pos", "text_id", "ids", "sources").join(refs, "pos", "left")
+    page = page.select("pos", "text_id", "ids", "refs", F.when(F.col("refs").isNull(), 0).otherwise(used).cast("long").alias("n_used"))
+    done = text.select("pos", "data").join(page, "pos").withColumn("new", pages.rewrite_images(F.col("data"), F.col("refs")))
+    out = done.select("pos", "text_id", F.col("ids").alias("image_ids"), F.col("new").alias("data"), (F.coalesce(F.col("new") != F.col("data"), F.lit(False))).alias("rewritten"), "n_used")
     return Localized(out, missing, unmatched, url_map.drop("raws"))

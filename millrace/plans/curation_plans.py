@@ -102,7 +102,7 @@ def labels_info_variants(s, d):
 
 def labels_merge(s, d):
     m = dedup.merge_labels(_labels(s, d), strict=False)
-    return m.select("pos", "id", "info", "data", F.array_join("tags", "|").alias("tags"), "n_rows", "n_variants")
+    return m.select("pos", "id", "part", "info", "data", F.array_join("tags", "|").alias("tags"), "n_rows", "n_variants")
 
 
 def front_matter_strip(s, d):

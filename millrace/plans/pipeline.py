@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.html import kernel
@@ -66,7 +66,7 @@ def localized(ds: Dataset, strict: bool = True) -> tuple[Dataset, dict[str, Data
     new_info = F.pandas_udf(_set_ids, "string")
     text = ds.text.select("pos", "id", "info", "tags").join(got.text.select("pos", "data", "image_ids"), "pos")
     text = text.select("pos", "id", new_info("info", "image_ids").alias("info"), "data", F.coalesce("tags", F.array().cast("array<string>")).alias("tags"))
-    labels = dedup.merge_labels(ds.image_labels, strict).select("pos", "id", "info", "data", "tags")
+    labels = dedup.merge_labels(ds.image_labels, strict).select("pos", "id", "part", "info", "data", "tags", "n_variants")
     side = {
         "image_url_missing": got.missing,
         "image_id_unmatched_warning": got.unmatched,
@@ -98,17 +98,32 @@ def size_filtered(ds: Dataset, min_width: int = 0, min_height: int = 0) -> Datas
 
 
 def run_localize(spark: SparkSession, source: str, target: str, overwrite: bool = False, strict: bool = True) -> dict:
-    """Stage 1 over folders, with diagnostics as JSON lines and both manifests."""
+    """Stage 1 over folders, with diagnostics as JSON lines and both manifests.
+
+    Rows and image references that pass are counted while the text is written; every step is timed.
+    """
+    timings: dict[str, float] = {}
     began = time.time()
+
+    def took(step: str) -> None:
+        timings[step] = time.time() - began - sum(timings.values())
+
     ds = dataset.read(spark, source)
     new, side, _ = localized(ds, strict)
-    written = dataset.write(new, target, overwrite)
+    took("plan_and_map_seconds")
+    seen = Observation("progress")
+    text = new.text.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.size(F.col("tags"))).alias("tags"))
+    written = dataset.write(Dataset(text, new.images, new.image_labels), target, overwrite)
+    took("write_tables_seconds")
     for name, rows in side.items():
-        rows.write.mode("overwrite").json(os.path.join(target, f"{name}.jsonl"))
-    timings = {"seconds": time.time() - began}
-    steps = {"step": "localize", "revision": dataset.revision(os.path.dirname(__file__))}
-    dataset.write_yaml(os.path.join(target, "dataset.yaml"), dataset.manifest(written, os.path.basename(target), source, target, steps, [f"{n}.jsonl" for n in side]))
-    dataset.write_yaml(os.path.join(target, "run_info.yaml"), {"source": {"dataset_root": source}, "target": {"output_dir": target}, "pipeline": steps, "timings": timings})
+        rows.write.mode("overwrite").json(f"{target}/{name}.jsonl")
+        took(f"{name}_seconds")
+    steps = {"step": "localize", "user": dataset.user(), **dataset.revision(os.path.dirname(__file__))}
+    description = dataset.manifest(written, os.path.basename(target), source, target, steps, [f"{n}.jsonl" for n in side])
+    took("count_tables_seconds")
+    timings["seconds"] = time.time() - began
+    dataset.write_yaml(f"{target}/dataset.yaml", description)
+    dataset.write_yaml(f"{target}/run_info.yaml", {"source": {"dataset_root": source}, "target": {"output_dir": target}, "pipeline": steps, "progress": seen.get, "timings": timings})
     return timings
 
 
@@ -138,13 +153,14 @@ def main(argv: list[str] | None = None) -> int:
         dataset.optimize(spark, a.source, a.tables)
     else:
         ds = dataset.read(spark, a.source)
+        same = dict.fromkeys(("images", "image_labels"), a.source)
         if a.stage == "parse":
             out, errors = parsed(ds, a.out_format, a.remove_ref, a.timeout)
-            new = dataset.write(out, a.target, a.overwrite)
+            new = dataset.write(out, a.target, a.overwrite, unchanged=same)
             errors.write.mode("overwrite").json(os.path.join(a.target, "errors.jsonl"))
         else:
             out = chatted(ds, a.role) if a.stage == "chat" else size_filtered(ds, a.min_width, a.min_height)
-            new = dataset.write(out, a.target, a.overwrite)
+            new = dataset.write(out, a.target, a.overwrite, unchanged=same)
         dataset.verify_order(ds.text, new.text)
     return 0
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import getpass
 import json
 import os
 import subprocess
+import uuid
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.jsonl_tar import read_dump
+from millrace.sources.tables import file_system
 
 TABLES = ("text", "image_labels", "images")
 
@@ -44,34 +47,80 @@ def wanted_tables(names: str | list[str] | None) -> list[str]:
     return [t for t in TABLES if t in names]
 
 
-def write(ds: Dataset, path: str, overwrite: bool = False, rows_per_file: int = 1_000_000) -> Dataset:
+def _fs(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a local or remote path."""
+    return file_system(spark.sparkContext, path), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _link(spark: SparkSession, path: str, table: str) -> str:
+    """Where a table is: behind the link file of its name, else in the folder itself."""
+    fs, at = _fs(spark, f"{path}/{table}.link")
+    if not fs.exists(at):
+        return f"{path}/{table}.parquet"
+    stream = fs.open(at)
+    try:
+        return bytes(b & 255 for b in stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def _set_link(spark: SparkSession, path: str, table: str, to: str) -> None:
+    fs, at = _fs(spark, f"{path}/{table}.link")
+    out = fs.create(at, True)
+    try:
+        out.write(bytearray(to.encode()))
+    finally:
+        out.close()
+
+
+def write(ds: Dataset, path: str, overwrite: bool = False, rows_per_file: int = 1_000_000, unchanged: dict[str, str] | None = None) -> Dataset:
     """Write the tables as Parquet and read them back. An existing folder is an error unless overwritten.
 
     Files are bounded by rows; the image table, whose rows are large, by a hundredth of that.
+    ``unchanged``: dataset folders of tables that are as they were; they are linked, not copied, by a
+    file ``<table>.link`` that says where they are, so that no image byte moves (O223, O233, O242).
     """
+    spark = ds.text.sparkSession
     mode = "overwrite" if overwrite else "errorifexists"
     for t in TABLES:
+        fs, at = _fs(spark, f"{path}/{t}.link")
+        own = fs.makeQualified(_fs(spark, f"{path}/{t}.parquet")[1])
+        if not overwrite and (fs.exists(at) or fs.exists(own)):
+            raise FileExistsError(f"{path} has a table {t} already: it exists")
+        if t in (unchanged or {}):
+            to = _link(spark, unchanged[t], t)
+            to = str(_fs(spark, to)[0].makeQualified(_fs(spark, to)[1]).toString())
+            if to != str(own.toString()):
+                _set_link(spark, path, t, to)
+                fs.delete(own, True)
+            continue
         per = max(1, rows_per_file // 100) if t == "images" else rows_per_file
-        ds.table(t).write.mode(mode).option("maxRecordsPerFile", per).parquet(os.path.join(path, f"{t}.parquet"))
-    return read(ds.text.sparkSession, path)
+        ds.table(t).write.mode(mode).option("maxRecordsPerFile", per).parquet(f"{path}/{t}.parquet")
+        fs.delete(at, False)
+    return read(spark, path)
 
 
 def read(spark: SparkSession, path: str) -> Dataset:
-    return Dataset(**{t: spark.read.parquet(os.path.join(path, f"{t}.parquet")) for t in TABLES})
+    return Dataset(**{t: spark.read.parquet(_link(spark, path, t)) for t in TABLES})
 
 
 def optimize(spark: SparkSession, path: str, tables: str | list[str] | None = None) -> None:
-    """Rewrite tables sorted by id, so that row group statistics and the bloom filter find an id (O009, O020, O022)."""
+    """Rewrite tables sorted by id, so that row group statistics and the bloom filter find an id (O009, O020, O022).
+
+    The new table is written beside the old one, then the link turns to it, then an old table of this
+    folder is deleted: readers find a whole table at any time. Linked tables of other folders stay.
+    """
     for t in wanted_tables(tables):
-        p = os.path.join(path, f"{t}.parquet")
-        if not os.path.exists(p):
+        old = _link(spark, path, t)
+        fs, at = _fs(spark, old)
+        if not fs.exists(at):
             continue
-        new = p + ".new"
-        spark.read.parquet(p).repartitionByRange("id").sortWithinPartitions("id", "pos").write.mode("overwrite").option("parquet.bloom.filter.enabled#id", "true").parquet(new)
-        old = p + ".old"
-        os.rename(p, old)
-        os.rename(new, p)
-        subprocess.run(["rm", "-rf", old], check=True)
+        new = f"{path}/{t}-{uuid.uuid4().hex}.parquet"
+        spark.read.parquet(old).repartitionByRange("id").sortWithinPartitions("id", "pos").write.option("parquet.bloom.filter.enabled#id", "true").parquet(new)
+        _set_link(spark, path, t, str(_fs(spark, new)[0].makeQualified(_fs(spark, new)[1]).toString()))
+        home = str(fs.makeQualified(_fs(spark, path)[1]).toString())
+        if str(fs.makeQualified(at).toString()).startswith(f"{home}/"):
+            fs.delete(at, True)
 
 
 def verify_order(before: DataFrame, after: DataFrame) -> None:
@@ -93,12 +142,24 @@ def now() -> str:
     return datetime.now(UTC).replace(microsecond=0).isoformat().replace("+00:00", "Z")
 
 
-def revision(folder: str) -> str:
-    """Commit of a folder, or an empty string."""
-    got = subprocess.run(["git", "-C", folder, "rev-parse", "HEAD"], capture_output=True, text=True)
+def _git(folder: str, *args: str) -> str:
+    got = subprocess.run(["git", "-C", folder, *args], capture_output=True, text=True)
     return got.stdout.strip() if got.returncode == 0 else ""
 
 
+def revision(folder: str) -> dict[str, str]:
+    """Commit, branch and remote of a folder, empty where it is in no repository (O073, O074)."""
+    return {"commit": _git(folder, "rev-parse", "HEAD"), "branch": _git(folder, "rev-parse", "--abbrev-ref", "HEAD"), "remote": _git(folder, "remote", "get-url", "origin")}
+
+
+def user() -> str:
+    """Who runs this (O072)."""
+    try:
+        return getpass.getuser()
+    except (KeyError, OSError):
+        return ""
+
+
 def _yaml(node: object, depth: int = 0) -> list[str]:
     pad = "  " * depth
     out: list[str] = []

@@ -49,15 +49,40 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or an own one where it is unset (tests)."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if d:
-        return d
-    app = spark.sparkContext.applicationId
-    if app not in _OWN:
-        _OWN[app] = tempfile.mkdtemp(prefix="millrace-")
-        atexit.register(shutil.rmtree, _OWN[app], ignore_errors=True)
-    return _OWN[app]
+    """A folder of this application in the one all executors share, ``spark.checkpoint.dir``.
+
+    Where that is unset, a local master (tests, single machines) gets an own temporary folder; a
+    cluster is refused, since its executors would write where the driver can't read. What is written
+    here is deleted when the driver ends, or by ``clean``.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId not in _OWN:
+        d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if not d and not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = f"{d.rstrip('/')}/millrace-{sc.applicationId}" if d else tempfile.mkdtemp(prefix="millrace-")
+        _OWN[sc.applicationId] = path
+        atexit.register(_delete, sc, path)
+    return _OWN[sc.applicationId]
+
+
+def _delete(sc, path: str) -> None:
+    try:
+        file_system(sc, path).delete(sc._jvm.org.apache.hadoop.fs.Path(path), True)
+    except Exception:  # noqa: BLE001 - the application may be gone already
+        shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
+
+
+def file_system(sc, path: str):
+    """Hadoop's file system of a path, local or remote."""
+    return sc._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(sc._jsc.hadoopConfiguration())
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all stored intermediate tables of this application; what was read from them is gone."""
+    path = _OWN.pop(spark.sparkContext.applicationId, None)
+    if path:
+        _delete(spark.sparkContext, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -67,7 +92,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     steps again, and readers profit from column pruning and row group statistics.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 

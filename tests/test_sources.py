@@ -71,8 +71,21 @@ def test_dump_to_dataset(spark, folder, tmp_path):
     small = pipeline.size_filtered(chats, 10, 10)
     assert all('"image_url"' not in r.data for r in small.text.collect())
     dataset.verify_order(loc.text, small.text)
+    # tables that a stage leaves alone are linked, also through several stages
+    same = dict.fromkeys(("images", "image_labels"), str(tmp_path / "loc"))
+    dataset.write(md, str(tmp_path / "md"), unchanged=same)
+    again = dataset.write(chats, str(tmp_path / "chat"), unchanged=dict.fromkeys(same, str(tmp_path / "md")))
+    assert not (tmp_path / "chat" / "images.parquet").exists() and all("/loc/images.parquet" in f for f in again.images.inputFiles()) and again.text.count() == 3
+    with pytest.raises(FileExistsError, match="exist"):
+        dataset.write(chats, str(tmp_path / "chat"), unchanged=same)
+    dataset.write(chats, str(tmp_path / "chat"), overwrite=True)
+    assert all("/chat/images.parquet" in f for f in dataset.read(spark, str(tmp_path / "chat")).images.inputFiles())
+    dataset.optimize(spark, str(tmp_path / "md"), "images")
+    assert (tmp_path / "loc" / "images.parquet").exists() and all("/md/images-" in f for f in dataset.read(spark, str(tmp_path / "md")).images.inputFiles())
     dataset.optimize(spark, str(tmp_path / "loc"), "text")
     assert dataset.read(spark, str(tmp_path / "loc")).text.count() == 3
+    info = (tmp_path / "loc" / "run_info.yaml").read_text()
+    assert "user:" in info and "write_tables_seconds:" in info and "rows: 3" in info
 
 
 def test_order_check(spark):

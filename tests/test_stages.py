@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import pages, urls
-from millrace.operators import chat, dedup, localize, size_filter
+from millrace.operators import chat, dedup, localize, ranking, size_filter
 
 A, B, C = "a" * 64, "b" * 64, "c" * 64
 
@@ -88,17 +88,35 @@ def test_label_merge(spark):
     assert json.loads(got[B].info)["info_addtional"] == ["{}"] and got[A].n_rows == 2
     assert [(r.image_id, r.first_data, r.duplicate_data) for r in dedup.data_conflicts(labels).collect()] == [(B, "d1", "d2")]
     assert dedup.merge_labels(labels.limit(0)).count() == 0
-    assert json.loads({r.id: r for r in dedup.merge_labels(labels, inline=0).collect()}[A].info)["info_addtional"] == [] and got[A].n_variants == 2
-    assert sorted(r.id for r in dedup.long_variants(labels, inline=0).collect()) == [A, A, B, B] and dedup.long_variants(labels).count() == 0
+    assert got[A].n_variants == 2 and got[A].part == 0
     single = dedup.merge_labels(labels.where("pos = 0")).first()
     assert json.loads(single.info)["info_addtional"] == []
 
 
 def test_label_merge_keeps_every_variant_of_a_hot_id(spark):
     df = spark.range(1500).selectExpr("id as pos", "if(id < 1200, 'hot', 'cold') as id", """concat('{"width": ', id % 700, '}') as info""", "'' as data", "cast(null as array<string>) as tags")
-    got = {r.id: r for r in dedup.merge_labels(df).collect()}
-    widths = {k: [json.loads(x)["width"] for x in json.loads(r.info)["info_addtional"]] for k, r in got.items()}
-    assert widths == {"hot": list(range(1, 700)), "cold": [*range(501, 700), *range(100)]} and (got["hot"].n_variants, got["cold"].n_variants) == (700, 300)
+    for per in (100, 500, 1000):
+        rows = sorted(dedup.merge_labels(df, per_part=per).collect(), key=lambda r: (r.id, r.part))
+        lists = [(r.id, [json.loads(x)["width"] for x in json.loads(r.info)["info_addtional"]]) for r in rows]
+        got = {k: [w for i, ws in lists for w in ws if i == k] for k in ("hot", "cold")}
+        assert got == {"hot": list(range(1, 700)), "cold": [*range(501, 700), *range(100)]} and max(len(w) for _, w in lists) <= per
+        assert [(r.id, r.n_variants, r.n_rows) for r in rows if r.part == 0] == [("cold", 300, 300), ("hot", 700, 1200)]
+        assert len(rows) == -(-299 // per) + -(-699 // per) and len({r.pos for r in rows}) == len(rows)
+
+
+def test_numbers_in_parts(spark):
+    df = spark.range(5000).selectExpr("id * 977 % 5000 as pos", "if(id % 3 > 0, 'hot', if(id % 5 > 0, 'b', null)) as k")
+    want = {}
+    for r in sorted(df.collect(), key=lambda r: r.pos):
+        want.setdefault(r.k, []).append(r.pos)
+    for cut in (10, 700, 10**6):
+        got = ranking.ranked(df, ["k"], F.floor(F.col("pos") / cut), "pos").collect()
+        assert len(got) == 5000 and all(want[r.k][r.rank] == r.pos for r in got)
+    orders = [sorted((r.k or "", r["rank"], r.pos) for r in ranking.drawn(df, ["k"], F.xxhash64("pos"), ["pos"], bits).collect()) for bits in (1, 3, 9)]
+    assert orders[0] == orders[1] == orders[2]
+    some = df.where("k = 'b'")  # the numbers of a group don't depend on other rows
+    assert sorted((r.k, r["rank"], r.pos) for r in ranking.drawn(some, ["k"], F.xxhash64("pos"), ["pos"], 5).collect()) == [x for x in orders[0] if x[0] == "b"]
+    assert sorted((r.k, r.nth) for r in dedup.row_positions(df.where("k is not null"), "k").where("nth = 1").collect()) == [("b", 1), ("hot", 1)]
 
 
 def test_broken_first_info_fails_unless_asked(spark):
@@ -112,16 +130,28 @@ def test_image_dedup(spark):
     rows = [(5, "x", b"1", "s1"), (2, "y", b"2", None), (7, "x", b"3", "s2"), (8, "y", b"4", None), (9, "x", b"5", "s1")]
     df = spark.createDataFrame(rows, "pos long, id string, image_bytes binary, sha256 string")
     assert sorted(r.pos for r in dedup.keep_first(df).collect()) == [2, 5]
-    assert sorted(r.pos for r in dedup.keep_first(df, bits=64).collect()) == [2, 5]  # a full filter
     assert dedup.keep_first(df.where("pos < 6")).count() == 2 and dedup.keep_first(df.limit(0)).count() == 0
-    many = spark.range(3000).selectExpr("id as pos", "cast(id % 1999 as string) as id", "cast('x' as binary) as image_bytes", "'s' as sha256")
-    assert sorted(r.pos for r in dedup.keep_first(many, bits=1 << 12).collect()) == list(range(1999))
     assert [(r.image_id, r.first_sha256, r.duplicate_sha256) for r in dedup.hash_conflicts(df).collect()] == [("x", "s1", "s2")]
     assert sorted((r.ordinal, r.id) for r in dedup.first_seen_order(df).collect()) == [(0, "y"), (1, "x")]
     far = df.withColumn("pos", F.col("pos") * 700_000)
     assert sorted((r.ordinal, r.id) for r in dedup.first_seen_order(far).collect()) == [(0, "y"), (1, "x")]
 
 
+def test_image_dedup_in_the_scan(spark, tmp_path):
+    many = spark.range(3000).selectExpr("id as pos", "if(id % 3 = 0, 'hot', cast(id % 1999 as string)) as id", "cast('x' as binary) as image_bytes", "'s' as sha256")
+    many.repartition(5).write.parquet(str(tmp_path / "images.parquet"))
+    seen, want = set(), []
+    for r in sorted(many.collect(), key=lambda r: r.pos):
+        if r.id not in seen:
+            seen.add(r.id)
+            want.append(r.pos)
+    stored = spark.read.parquet(str(tmp_path / "images.parquet"))
+    kept = dedup.keep_first(stored)
+    assert sorted(r.pos for r in kept.collect()) == want and kept.columns == stored.columns
+    assert "Exchange" not in kept._jdf.queryExecution().toString()  # bytes stay where they are
+    assert dedup.keep_first(stored.where("pos < 2")).count() == 2 and dedup.keep_first(stored.where("pos < 0")).count() == 0
+
+
 def test_markdown_parts():
     parts = lambda md: chat.parts(md)
     text = lambda s: {"type": "text", "text": s}

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from millrace.sources import tables
 
 
@@ -12,9 +14,21 @@ def test_shared_folder_and_tables(spark, tmp_path):
 
 
 def test_cluster_setting_is_used(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tables, "_OWN", {})
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: f"file://{tmp_path}/shared")
-    assert tables.shared_dir(spark) == f"file://{tmp_path}/shared"
+    assert tables.shared_dir(spark).startswith(f"file://{tmp_path}/shared/")
     assert tables.materialize(spark.range(3), "y").count() == 3 and os.listdir(tmp_path / "shared")
+    tables.clean(spark)
+    assert not os.listdir(tmp_path / "shared")
+
+
+def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_OWN", {})
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
+    monkeypatch.setattr(spark.sparkContext, "getConf", lambda: {})
+    with pytest.raises(RuntimeError, match="share"):
+        tables.shared_dir(spark)
 
 
 def test_spread(spark, tmp_path):
