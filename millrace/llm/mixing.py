@@ -9,21 +9,26 @@ length*, never on the documents themselves:
 2. single documents of the lengths that lost most by rounding are added while the rest of the budget
    is larger than the window of the last step;
 3. bounded-knapsack dynamic programming over the lengths left finds the largest sum that fits the
-   rest, mostly the rest itself (sums are bits of an integer, counts go in binary parts).
+   rest, mostly the rest itself (sums are bits of an integer, counts go in binary parts);
+4. where the budget is missed by as much as the greatest common divisor of the lengths or more, the
+   window grows and the steps are taken again, at last with a window that holds the whole budget.
 
-Which documents of a length are drawn follows a seeded hash.
+So the sum reached is the largest that any choice of documents has: either nothing can be nearer to
+the budget, or the program has seen all documents and the whole budget. Which documents of a length
+are drawn follows a seeded hash.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.ranking import salted_rank, salts_for
+from millrace.operators.ranking import bits_for, drawn
 
-#: Budget left to the dynamic program, in tokens: a few long documents.
+#: Budget left to the dynamic program at first, in tokens: a few long documents. It grows until the sum can't be better.
 WINDOW = 65_536
 
 
@@ -68,11 +73,24 @@ def draw(source: str, counts: dict[int, int], budget: int, max_repeats: int, win
     if not tokens or budget <= 0 or max_repeats <= 0:
         return Draw(source, max(budget, 0), 0, {}, 0)
     passes = min(max_repeats, budget // tokens)
-    rest = budget - passes * tokens
+    goal = budget - passes * tokens
+    extra, rest = {}, max(goal, 0)
+    if passes < max_repeats and goal > 0:
+        unit = math.gcd(*counts)
+        while True:
+            extra, rest = _once_more(counts, tokens, goal, window)
+            if rest < unit or window >= goal:
+                break
+            window *= 16
+    return Draw(source, budget, int(passes), extra, budget - rest)
+
+
+def _once_more(counts: dict[int, int], tokens: int, goal: int, window: int) -> tuple[dict[int, int], int]:
+    """Documents per length to use once more, and what is left of ``goal``."""
     extra: dict[int, int] = {}
-    if passes < max_repeats and rest > 0:
+    rest = goal
+    if window < goal:
         lost = []
-        goal = rest
         for length, n in counts.items():
             whole, part = divmod(n * goal, tokens)
             if whole:
@@ -85,13 +103,11 @@ def draw(source: str, counts: dict[int, int], budget: int, max_repeats: int, win
             if length <= rest and extra.get(length, 0) < counts[length]:
                 extra[length] = extra.get(length, 0) + 1
                 rest -= length
-        left = {length: n - extra.get(length, 0) for length, n in counts.items() if n > extra.get(length, 0) and length <= rest}
-        for length, n in subset_sum(left, rest).items():
-            extra[length] = extra.get(length, 0) + n
-            rest -= n * length
-    else:
-        rest = max(rest, 0)
-    return Draw(source, budget, int(passes), extra, budget - rest)
+    left = {length: n - extra.get(length, 0) for length, n in counts.items() if n > extra.get(length, 0) and length <= rest}
+    for length, n in subset_sum(left, rest).items():
+        extra[length] = extra.get(length, 0) + n
+        rest -= n * length
+    return extra, rest
 
 
 def plan(counts: dict[str, dict[int, int]], targets: list[tuple[str, float, int]], total: int | None = None) -> list[Draw]:
@@ -125,6 +141,6 @@ def mix(sizes: DataFrame, targets: list[tuple[str, float, int]], seed: int = 0,
     table = [(d.source, length, d.passes, d.extra.get(length, 0)) for d in draws for length in counts.get(d.source, {}) if d.passes or d.extra.get(length)]
     places = spark.createDataFrame(table, "source string, n_tokens long, passes long, more long")
     docs = sizes.select("doc_id", "source", "n_tokens").join(places, ["source", "n_tokens"])
-    ranked = salted_rank(docs, ["source", "n_tokens"], F.xxhash64(F.lit(seed), "doc_id"), salts_for(rows))
-    used = ranked.withColumn("repeats", (F.col("passes") + (F.col("rank") < F.col("more")).cast("long")).cast("int"))
+    rows_ranked = drawn(docs, ["source", "n_tokens"], F.xxhash64(F.lit(seed), "doc_id"), ["doc_id"], bits_for(rows))
+    used = rows_ranked.withColumn("repeats", (F.col("passes") + (F.col("rank") < F.col("more")).cast("long")).cast("int"))
     return used.where("repeats > 0").select("doc_id", "source", "n_tokens", "repeats"), draws

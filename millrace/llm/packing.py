@@ -10,9 +10,10 @@ however many texts there are:
    fit beside j, or if every two that do fit into k and no three fit beside j;
 2. best fit decreasing for the remainder, by groups of containers with the same room.
 
-Both are exact for multisets: a step places all equal items at once. The texts then learn their
-places from their number within their size, which is worked out in salted parts, so neither a hot
-size nor the whole table is ever in one task.
+Both are exact for multisets: a step places all equal items at once, and each step of the reduction
+uses up a size, so a plan has as many rows as the capacity allows sizes, not as there are texts. The
+texts then learn their places from their number within their size, which is worked out in salted
+parts, so neither a hot size nor the whole table is ever in one task.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.ranking import salted_rank, salts_for
+from millrace.operators.ranking import bits_for, drawn
 
 
 class Plan:
@@ -107,7 +108,8 @@ def reduce(counts: dict[int, int], plan: Plan) -> None:
                 fix(j, best, min(counts[j], counts[best]))
             changed = True
         elif (len(small) < 3 or sum(small[:3]) > room) and best != j and _best_pair(sizes, counts, room) <= best:
-            fix(j, best, 1)  # one at a time: the pairs beside the next j may be others
+            # what the conditions ask only gets truer as items go, so the same holds for every next j
+            fix(j, best, min(counts[j], counts[best]))
             changed = True
 
 
@@ -189,7 +191,7 @@ def make_plan(counts: dict[int, int], capacity: int) -> Plan:
 # --- distributed operator ------------------------------------------------------------------------
 
 
-def _assign(plans: dict[int, np.ndarray]):
+def _assign(plans: dict[int, dict[str, np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             shape, size, rank = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 4))
@@ -198,25 +200,25 @@ def _assign(plans: dict[int, np.ndarray]):
                 m = shape == s
                 if m.any():
                     # rows of a plan are sorted by (size, first); the last one at or before an item holds it
-                    key = np.searchsorted(p["key"], _key(size[m], rank[m]), side="right") - 1
-                    bins[m] = p["bin"][key] + (rank[m] - p["first"][key]) // p["per"][key]
+                    at = np.searchsorted(p["key"], _key(p["sizes"], size[m], rank[m], int(p["shift"])), side="right") - 1
+                    bins[m] = p["bin"][at] + (rank[m] - p["first"][at]) // p["per"][at]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bins), b.column(1), b.column(2), b.column(3)], names=["shape_id", "container_id", "doc_id", "piece_no", "n_tokens"])
 
     return run
 
 
-_KEY = np.dtype([("size", "<i8"), ("first", "<i8")])
-
-
-def _key(size: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """One comparable number per (size, rank): sizes are below 2^20, ranks below 2^43."""
-    return (size.astype(np.int64) << 43) | first.astype(np.int64)
+def _key(sizes: np.ndarray, size: np.ndarray, rank: np.ndarray, shift: int) -> np.ndarray:
+    """One comparable number per (size, rank): the number of the size among the sizes, then the rank."""
+    return (np.searchsorted(sizes, size) << shift) | rank.astype(np.int64)
 
 
 def _arrays(plan: Plan) -> dict[str, np.ndarray]:
-    rows = sorted(plan.rows)
-    a = np.array(rows, dtype=np.int64).reshape(-1, 5)
-    return {"key": _key(a[:, 0], a[:, 1]), "first": a[:, 1], "bin": a[:, 3], "per": a[:, 4]}
+    a = np.array(sorted(plan.rows), dtype=np.int64).reshape(-1, 5)
+    sizes = np.unique(a[:, 0])
+    shift = 62 - len(sizes).bit_length()
+    if len(a) and int(a[:, 2].max()) >> shift:
+        raise OverflowError(f"{len(sizes)} sizes with up to {a[:, 2].max()} items each don't fit one 64-bit number")
+    return {"key": _key(sizes, a[:, 0], a[:, 1], shift), "sizes": sizes, "shift": np.int64(shift), "first": a[:, 1], "bin": a[:, 3], "per": a[:, 4]}
 
 
 def pieces(sizes: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
@@ -246,6 +248,6 @@ def pack(sizes: DataFrame, shapes: list[tuple[int, int]]) -> DataFrame:
     """
     items = pieces(sizes, shapes)
     plans, total = plans_for(items, shapes)
-    ranked = salted_rank(items, ["shape_id", "size"], F.xxhash64("doc_id", "piece_no"), salts_for(total))
+    rows = drawn(items, ["shape_id", "size"], F.xxhash64("doc_id", "piece_no"), ["doc_id", "piece_no"], bits_for(total))
     arrays = {i: _arrays(p) for i, p in plans.items()}
-    return ranked.select("shape_id", "doc_id", "piece_no", "size", "rank").mapInArrow(_assign(arrays), "shape_id int, container_id long, doc_id long, piece_no long, n_tokens long")
+    return rows.select("shape_id", "doc_id", "piece_no", "size", "rank").mapInArrow(_assign(arrays), "shape_id int, container_id long, doc_id long, piece_no long, n_tokens long")

@@ -5,14 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import mixing, packing, tokens
-from millrace.llm.ranking import salted_rank
-
-
-def test_rank(spark):
-    df = spark.range(5000).select((F.col("id") % 3).alias("g"), "id", F.lit("clash").alias("rank0"))
-    got = salted_rank(df, ["g"], F.xxhash64("id"), 8).collect()
-    for g in range(3):
-        assert sorted(r["rank"] for r in got if r.g == g) == list(range(sum(r.g == g for r in got)))
 
 
 def bins_of(plan):
@@ -67,6 +59,25 @@ def test_reduction_keeps_an_optimum(seed):
     assert plan.fixed + least(rest, cap) == least(items, cap)
 
 
+def test_plans_do_not_grow_with_the_items():
+    sizes = []
+    for n in (10**3, 10**6, 10**9):
+        plan = packing.make_plan({60: n, 39: n, 19: n, 18: n}, 100)
+        sizes.append(len(plan.rows))
+        assert sum(last - first for _, first, last, _, _ in plan.rows) == 4 * n
+    assert sizes[0] == sizes[1] == sizes[2] < 20
+
+
+def test_plan_keys():
+    plan = packing.make_plan({5: 3, 70: 4, 2**40: 2}, 2**40)
+    a = packing._arrays(plan)
+    assert list(a["key"]) == sorted(a["key"]) and len(set(a["key"])) == len(a["key"])
+    big = packing.Plan(10)
+    big.place(3, 2**61, 0)
+    with pytest.raises(OverflowError):
+        packing._arrays(big)
+
+
 def test_pack_rows(spark):
     rows = [(1, 5), (2, 5), (3, 25), (4, 0), (5, None), (6, 10), (7, 3)]
     df = spark.createDataFrame(rows, "doc_id long, n_tokens long")
@@ -96,6 +107,29 @@ def test_subset_sum(seed):
     assert all(n <= counts[k] for k, n in chosen.items())
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_windows_reach_the_optimum_of_the_whole_budget(seed):
+    rng = random.Random(seed)
+    step = rng.choice([1, 2, 6])
+    counts = {step * rng.randint(1, 60): rng.randint(1, 6) for _ in range(rng.randint(1, 6))}
+    tokens_ = sum(k * n for k, n in counts.items())
+    budget = rng.randint(1, tokens_)
+    best = sum(k * n for k, n in mixing.subset_sum(counts, budget).items())  # one program over all documents
+    for window in (1, 10, 10**6):
+        d = mixing.draw("s", counts, budget, 1, window)
+        assert d.got == sum(k * n for k, n in d.extra.items()) + d.passes * tokens_ == best
+        assert all(n <= counts[k] for k, n in d.extra.items())
+
+
+def test_a_draw_depends_on_its_source_alone(spark):
+    rows = [(i, "a", 10 + i % 5) for i in range(300)]
+    more = [(10_000 + i, "b", 7) for i in range(3000)]
+    cols = "doc_id long, source string, n_tokens long"
+    few, many = (spark.createDataFrame(r, cols) for r in (rows, rows + more))
+    one = {(r.doc_id, r.repeats) for r in mixing.mix(few, [("a", 1.0, 1)], seed=3, total=2000)[0].collect()}
+    assert one == {(r.doc_id, r.repeats) for r in mixing.mix(many, [("a", 1.0, 1)], seed=3, total=2000)[0].collect()}
+
+
 def test_draws():
     d = mixing.draw("s", {10: 100, 7: 3}, 2 * 1021 + 107, 4)
     assert d.passes == 2 and d.got == 2 * 1021 + 107 and all(n <= {10: 100, 7: 3}[k] for k, n in d.extra.items())
