@@ -17,9 +17,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.same_look_pairs(keys)
 
 
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalikes.look_classes(materialize(lookalikes.looks(_text(spark, sf_dir), "pos", "data"), "looks"))
+
+
 def p5_form(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalikes.consistent_form(_text(spark, sf_dir), "pos", "data")
 
 
-QUERIES = {"p5_found": p5_found, "p5_form": p5_form}
+QUERIES = {"p5_found": p5_found, "p5_classes": p5_classes, "p5_form": p5_form}
 SQL: dict[str, str] = {}

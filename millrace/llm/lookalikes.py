@@ -1,21 +1,23 @@
 """One consistent form for texts that look the same but differ in their characters.
 
-Three steps turn a text into its form:
+A text is read in two steps, and two texts look the same exactly if their readings are equal:
 
 1. compatibility normalization of what only changes width or joins letters (full-width, half-width,
    ligatures, radicals, spaces of any width, hyphens), decomposition, and deletion of ignorable
    characters (zero-width, bidirectional marks, soft hyphens, variation selectors). Raised, lowered,
    circled and styled characters are kept: they look different;
-2. every letter is replaced by its *look-alike class*, after which the text is composed again. Two
-   texts look the same exactly if they agree now;
-3. each token's class sequence spans a lattice of letters of different scripts; Viterbi picks the
-   reading with the best character n-gram score, where a change of script inside a token costs more
-   than any n-gram can win. Scripts without a letter of their own (outside every class) anywhere in
-   the text are no options, so texts in one script skip the search.
-
-Step 3 sees only the result of step 2, so equal classes give equal forms and different classes give
-different ones. The n-gram counts come from all texts of the table (a first pass); they are bounded
-by the alphabets, not by the data.
+2. each token spans a lattice: every letter may stand for any letter it looks like, of any script the
+   text has. Viterbi picks the reading with the best character n-gram score, where a change of script
+   inside a token costs more than any n-gram can win. Accents and all other characters are as they are.
+
+Most letters look like one Latin letter; some look like several (a palochka is read as ``I`` or as
+``l``), and for these the neighbours decide what the token says. The search is exact but mostly
+needless: a script without a letter of its own (outside every look) anywhere in the text is no
+option, so the letters of a text with Latin letters only have one reading, unless an ambiguous one
+stands among them.
+
+The n-gram counts come from all texts of the table (a first pass); they are bounded by the
+alphabets, not by the data.
 """
 
 from __future__ import annotations
@@ -34,17 +36,35 @@ from pyspark.sql import functions as F
 #: Letters of other scripts that look like a Latin letter in common typefaces.
 CYRILLIC = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ѕ": "s", "ј": "j", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w", "ѵ": "v",
-    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ѕ": "S", "Ј": "J", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V", "Ӏ": "I",
+    "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ѕ": "S", "Ј": "J", "Ԛ": "Q", "Ԝ": "W", "Ѵ": "V",
 }
 GREEK = {
     "ο": "o", "ν": "v", "ρ": "p", "ϲ": "c", "ϳ": "j",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J",
 }
-_CLASS = {ord(k): v for k, v in (GREEK | CYRILLIC).items()}
+ARMENIAN = {
+    "օ": "o", "ո": "n", "ս": "u", "հ": "h", "ց": "g", "զ": "q", "Օ": "O", "Տ": "S", "Ս": "U", "Լ": "L",
+}
+CHEROKEE = {
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮢ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+}
+#: Latin letters drawn like another one.
+LATIN = {"ɑ": "a", "ɡ": "g", "ᴏ": "o", "ᴄ": "c", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s"}
+#: Letters that look like several Latin letters; what stands around them decides.
+AMBIGUOUS = {"Ӏ": "Il", "ӏ": "lI", "ǀ": "lI", "Ɩ": "lI"}
+_SCRIPTS = {"c": CYRILLIC, "g": GREEK, "a": ARMENIAN, "k": CHEROKEE}
+_CLASS = {ord(k): v for t in (*_SCRIPTS.values(), LATIN) for k, v in t.items()} | {ord(k): v[0] for k, v in AMBIGUOUS.items()}
 _FOLDED = ("<wide>", "<narrow>", "<noBreak>", "<compat>")
-_LETTERS = r"[A-Za-zÀ-ÖØ-öø-ɏͰ-ϿЀ-ԯ̀-ͯ]+"
-_TOKEN = re.compile(_LETTERS)
-_ANCHOR = {"c": re.compile(f"[{''.join(chr(c) for c in range(0x400, 0x530) if chr(c) not in CYRILLIC and unicodedata.category(chr(c))[0] == 'L')}]"), "g": re.compile(f"[{''.join(chr(c) for c in range(0x370, 0x400) if chr(c) not in GREEK and unicodedata.category(chr(c))[0] == 'L')}]")}
+_RANGES = {"c": ((0x400, 0x530),), "g": ((0x370, 0x400),), "a": ((0x531, 0x588),), "k": ((0x13A0, 0x13FE), (0xAB70, 0xABC0))}
+_TOKEN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ʯ̀-ͯͰ-ϿЀ-ԯԱ-ևᎠ-ᏽᴀ-ᴢꜰꜱꭰ-ꮿ]+")
+_BASE = frozenset(map(chr, _CLASS))
+#: Letters that only their script has: they tell that a text has it.
+_ANCHOR = {
+    s: re.compile(f"[{''.join(chr(c) for a, b in r for c in range(a, b) if chr(c) not in _BASE and unicodedata.category(chr(c))[0] == 'L' and unicodedata.normalize('NFD', chr(c)) == chr(c))}]")
+    for s, r in _RANGES.items()
+}
+_ANY_ANCHOR = re.compile("|".join(r.pattern for r in _ANCHOR.values()))
+_AMBIGUOUS = re.compile(f"[{''.join(AMBIGUOUS)}]")
 #: Log cost of changing the script inside a token.
 SWITCH = 1000.0
 
@@ -88,42 +108,47 @@ _SHOW = _Lazy(_shown)
 _CLASSES = _Lazy(lambda ch: _CLASS.get(ord(ch), ch))
 
 
+def decomposed(text: str) -> str:
+    """Step 1: what a text shows, with accents behind their letters."""
+    return unicodedata.normalize("NFD", text.translate(_SHOW))
+
+
 def _classes(text: str) -> str:
-    d = unicodedata.normalize("NFD", text.translate(_SHOW))
-    return unicodedata.normalize("NFC", d.translate(_CLASSES))
+    return unicodedata.normalize("NFC", decomposed(text).translate(_CLASSES))
 
 
-#: Texts made of characters alone that steps 1 and 2 leave as they are need no look at each.
+#: Texts made of characters alone that have one reading, themselves, need no look at each.
 _PLAIN = re.compile(f"[^\\n{re.escape(''.join(c for c in map(chr, [*range(32, 127), *range(0xA1, 0x180), *range(0x2013, 0x2023)]) if _classes(c) == c))}\u4e00-\u9fff]")
 
 
 def classes(text: str) -> str:
-    """Steps 1 and 2: the look-alike class sequence of a text, composed."""
+    """The text with every letter replaced by the Latin one it looks like first: a form for loose comparisons."""
     return _classes(text) if _PLAIN.search(text) else text
 
 
-_OPTIONS: dict[str, list[tuple[str, str]]] = {}
-for _s, _t in (("c", CYRILLIC), ("g", GREEK)):
-    for _k, _v in _t.items():
-        _OPTIONS.setdefault(_v, [("l", _v)]).append((_s, _k))
-
-
 def script(ch: str) -> str:
+    """One letter per script: l, c, g, a, k, and - for what has none, such as accents."""
     cp = ord(ch)
-    return "c" if 0x400 <= cp < 0x530 else "g" if 0x370 <= cp < 0x400 else "l" if cp < 0x250 and ch.isalpha() else "-"
+    if cp < 0x2B0 or 0x1D00 <= cp < 0x1D80 or 0xA720 <= cp < 0xA800:
+        return "l" if ch.isalpha() else "-"
+    return next((s for s, r in _RANGES.items() if any(a <= cp < b for a, b in r)), "-")
+
+
+#: Latin letter -> all letters that look like it, by script, itself first.
+_LOOKS: dict[str, list[tuple[str, str]]] = {}
+for _s, _t in _SCRIPTS.items():
+    for _k, _v in _t.items():
+        _LOOKS.setdefault(_v, [("l", _v)]).append((_s, _k))
+_OPTIONS: dict[str, list[tuple[str, str]]] = {}
 
 
 def _options(ch: str) -> list[tuple[str, str]]:
-    """Letters a class letter can stand for, with their scripts; accents ride on the base letter."""
-    if ch in _OPTIONS:
-        return _OPTIONS[ch]
-    d = unicodedata.normalize("NFD", ch)
-    if len(d) > 1 and d[0] in _OPTIONS:
-        r = [(s, unicodedata.normalize("NFC", c + d[1:])) for s, c in _OPTIONS[d[0]]]
-    else:
-        r = [(script(ch), ch)]
-    _OPTIONS[ch] = r
-    return r
+    """Letters a letter can be read as, with their scripts."""
+    got = _OPTIONS.get(ch)
+    if got is None:
+        looks = AMBIGUOUS.get(ch) or _CLASS.get(ord(ch), ch)
+        got = _OPTIONS[ch] = [o for v in looks for o in _LOOKS.get(v, [(script(v), v)])]
+    return got
 
 
 class Reader:
@@ -139,49 +164,53 @@ class Reader:
     def score(self, a: str, b: str) -> float:
         return math.log((self.pair.get(a + b, 0) + 0.1) / (self.left.get(a, 0) + 30.0))
 
-    def token(self, seq: str, scripts: str) -> str:
-        got = self.memo.get((seq, scripts))
+    def token(self, letters: str, scripts: str) -> str:
+        """The best reading of a decomposed token in the scripts that the text has."""
+        got = self.memo.get((letters, scripts))
         if got is not None:
             return got
-        # per letter: (value, script, letter, place of the best state before)
+        # per letter: (value, script so far, letter, place of the best state before)
         steps: list[list[tuple[float, str, str, int]]] = [[(0.0, "", " ", -1)]]
-        for ch in seq:
+        for ch in letters:
             now = []
             for s, c in [o for o in _options(ch) if o[0] in scripts or o[0] == "-"] or _options(ch):
                 top = (-math.inf, 0)
                 for i, (v, ps, pc, _) in enumerate(steps[-1]):
-                    x = v + self.score(pc, c) - (SWITCH if ps and s != "-" and ps != "-" and s != ps else 0.0)
+                    x = v + self.score(pc, c) - (SWITCH if ps and s != "-" and s != ps else 0.0)
                     if x > top[0]:
                         top = (x, i)
-                now.append((top[0], s, c, top[1]))
+                now.append((top[0], steps[-1][top[1]][1] if s == "-" else s, c, top[1]))
             steps.append(now)
         at = max(range(len(steps[-1])), key=lambda i: (steps[-1][i][0] + self.score(steps[-1][i][2], " "), steps[-1][i][2]))
-        letters = []
+        read = []
         for step in reversed(steps[1:]):
-            letters.append(step[at][2])
+            read.append(step[at][2])
             at = step[at][3]
-        end = "".join(reversed(letters))
+        end = "".join(reversed(read))
         if len(self.memo) > 300_000:
             self.memo.clear()
-        self.memo[(seq, scripts)] = end
+        self.memo[(letters, scripts)] = end
         return end
 
     def form(self, text: str) -> str:
-        """The consistent form of a text."""
-        seq = classes(text)
-        scripts = "l" + "".join(s for s, r in _ANCHOR.items() if r.search(seq))
-        if scripts == "l":
-            return seq
+        """The consistent form of a text: the readings of its tokens, composed again."""
+        if not _PLAIN.search(text):
+            return text
+        seq = decomposed(text)
+        scripts = "l" + "".join(s for s, r in _ANCHOR.items() if r.search(seq)) if _ANY_ANCHOR.search(seq) else "l"
+        if scripts == "l" and not _AMBIGUOUS.search(seq):
+            return unicodedata.normalize("NFC", seq.translate(_CLASSES))  # every letter has one option
         return unicodedata.normalize("NFC", _TOKEN.sub(lambda m: self.token(m.group(), scripts), seq))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Letter pairs of the single-script tokens of a partition."""
+    """Letter pairs of the single-script tokens of a partition, decomposed."""
     words: Counter = Counter()
     pairs: Counter = Counter()
 
     def fold() -> None:
         for w, n in words.items():
+            w = unicodedata.normalize("NFD", w)
             if len({script(c) for c in w} - {"-"}) == 1:
                 w = f" {w} "
                 for i in range(len(w) - 1):
@@ -259,3 +288,17 @@ def same_look_pairs(keys: DataFrame) -> DataFrame:
     right = keys.select("look", F.col("raw").alias("raw_b"), F.col("pos").alias("q"))
     spread = links.join(left, ["look", "raw_a"]).join(right, ["look", "raw_b"])
     return spread.select(F.least("p", "q").alias("pos_a"), F.greatest("p", "q").alias("pos_b")).where("pos_a <> pos_b")
+
+
+def look_classes(keys: DataFrame) -> DataFrame:
+    """(pos, class_pos, n_rows, n_links) of every row that shows text: the smallest position of the rows
+    that look like it, how many these are (itself included), and to how many of them it is linked,
+    which are those whose text differs.
+
+    Counts are per distinct text first, so a text on a third of all rows is one row in them; it meets
+    its counts as the split side of an adaptive skew join.
+    """
+    texts = keys.groupBy("look", "raw").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"))
+    whole = texts.groupBy("look").agg(F.sum("n").alias("n_rows"), F.min("first").alias("class_pos"))
+    per = texts.join(whole, "look").select("look", "raw", "class_pos", "n_rows", (F.col("n_rows") - F.col("n")).alias("n_links"))
+    return keys.join(per, ["look", "raw"]).select("pos", "class_pos", "n_rows", "n_links")
