@@ -1,12 +1,16 @@
 """Keyword-stuffed pages, link lists and tag lists, told from prose by robust outlier detection.
 
-Every document becomes a short vector of density, entropy, repetition and function-word features.
-Per language, a robust centre and covariance are estimated over all documents: medians and median
+Every document becomes a short vector of density, entropy, repetition and function-word features,
+each an estimate from the words of the text, with the variance that an estimate from so many words
+has. Per language, a robust centre and covariance are taken over all documents: medians and median
 absolute deviations first, then reweighted by concentration steps that keep the documents near the
-centre (the distances of the last step decide who counts). The covariance follows prose, since spam
-is a minority in no direction it is drawn to. A document is spam if its Mahalanobis distance is
-beyond the cut-off and it lies in a spam-directed direction: more links, repetition or tags, less
-entropy, fewer function words or sentences than prose, in the metric of the covariance.
+centre (the distances of the last step decide who counts). By the law of total variance the
+covariance is that of the estimates among the kept documents plus the mean variance of an estimate,
+so a feature that nearly all prose has at zero, such as links, is judged by what texts of this
+length can tell about it. No width is set by hand. Spam is a minority in no direction the covariance
+is drawn to. A document is spam if its Mahalanobis distance is beyond the cut-off and it lies in a
+spam-directed direction: more links, repetition or tags, less entropy, fewer function words or
+sentences than prose, in the metric of the covariance.
 """
 
 from __future__ import annotations
@@ -45,6 +49,10 @@ _SENTENCE_END = re.compile(r"[.!?…。！？](?=[\s\"”’)\]]|$)|[。！？]"
 BLOCK = 120
 #: Words at which a text's own entropy and repetition have half of the say, and the entropy level of prose.
 FEW, LEVEL = 25, 1.5
+#: Words that make one trial for being linked, repeated, dominated by a word, or ending a sentence; Han signs of a word.
+TRIAL, HAN_WORD = 12, 1.6
+#: Variance of a word's log frequency in prose.
+SURPRISE = 0.5
 NAMES = ("links", "functions", "entropy", "repetition", "top", "sentences")
 #: Direction of spam in each feature.
 SPAM_SIGN = np.array([1.0, -1.0, -1.0, 1.0, 1.0, -1.0])
@@ -64,8 +72,14 @@ def language(words: list[str], n_han: int, n_cyrillic: int, said: str | None) ->
     return code if code in ("en", "de", "es") else best if hits[best] else "en"
 
 
-def features(text: str, said: str | None) -> tuple[str, list[float]] | None:
-    """(language, feature vector) of a text; None where it shows no word."""
+def estimate(share: float, n: float) -> tuple[float, float]:
+    """Mean and variance of a share seen in ``n`` trials (Jeffreys prior)."""
+    mean = (min(max(share, 0.0), 1.0) * n + 0.5) / (n + 1)
+    return mean, mean * (1 - mean) / (n + 2)
+
+
+def features(text: str, said: str | None) -> tuple[str, list[float], list[float]] | None:
+    """(language, feature vector, variances of its members) of a text; None where it shows no word."""
     body = _FRONT.sub("", text)
     body = _IMAGE.sub(" ", body)
     lines = [x.strip() for x in body.split("\n")]
@@ -114,14 +128,20 @@ def features(text: str, said: str | None) -> tuple[str, list[float]] | None:
     entropy = (n * entropy + FEW * LEVEL) / (n + FEW)
     repetition = n * repetition / (n + FEW)
     ends = len(_SENTENCE_END.findall(shown))
-    sentences = min(1.0, 12.0 * ends / max(n if lang != "zh" else n / 1.6, 1))
-    return lang, [links, functions, entropy, repetition, top, sentences]
+    sentences = min(1.0, TRIAL * ends / max(n if lang != "zh" else n / HAN_WORD, 1))
+    words_shown = max(n if lang != "zh" else n / HAN_WORD, 1.0)
+    trials = words_shown / TRIAL
+    got = [
+        estimate(links, trials), estimate(functions, words_shown), (entropy, SURPRISE / (max(n, 1) + FEW)),
+        estimate(repetition, trials), estimate(top, trials), estimate(sentences, trials),
+    ]
+    return lang, [m for m, _ in got], [v for _, v in got]
 
 
-#: Smallest standard deviation that a feature counts with.
-FLOORS = np.array([0.10, 0.05, 0.2, 0.10, 0.05, 0.10])
 #: Squared distances: 95 % quantile (core of the reweighting) and 99.95 % quantile (cut-off) of chi-square with 6 degrees.
 CORE, CUT = 12.59, 24.1
+#: What trimming at the core takes from a covariance.
+TRIMMED = 1.15
 STEPS = 3
 D = len(NAMES)
 
@@ -134,19 +154,22 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if f is not None:
                 ids.append(i)
                 langs.append(f[0])
-                rows.append(f[1])
-        x = np.array(rows, dtype=np.float64).reshape(-1, D)
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), *(pa.array(x[:, k]) for k in range(D))], names=["doc_id", "lang", *(f"x{k}" for k in range(D))])
+                rows.append(f[1] + f[2])
+        x = np.array(rows, dtype=np.float64).reshape(-1, 2 * D)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), *(pa.array(x[:, k]) for k in range(2 * D))], names=["doc_id", "lang", *_COLUMNS])
+
+
+_COLUMNS = [f"x{k}" for k in range(D)] + [f"v{k}" for k in range(D)]
 
 
 def vectors(df: DataFrame, doc_id: Column, said: Column, text: Column) -> DataFrame:
-    """(doc_id, lang, x0..x5): the feature vector of every document that shows a word.
+    """(doc_id, lang, x0..x5, v0..v5): the features of every document that shows a word, and their variances.
 
     Null, empty and blank texts, and texts of nothing but titles and front matter, have none and are
     never spam. A null or odd language is worked out from the text. Repeated rows have equal vectors.
     """
     rows = df.select(doc_id.cast("long").alias("doc_id"), said.alias("said"), text.alias("text")).where(F.col("text").rlike(r"\S"))
-    return rows.mapInArrow(_vectors, "doc_id long, lang string, " + ", ".join(f"x{k} double" for k in range(D)))
+    return rows.mapInArrow(_vectors, "doc_id long, lang string, " + ", ".join(f"{c} double" for c in _COLUMNS))
 
 
 def _distances(v: DataFrame, model: dict[str, tuple[np.ndarray, np.ndarray]]) -> DataFrame:
@@ -166,16 +189,15 @@ def robust_model(v: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
     What reaches the driver is a few numbers per language, whatever the size of the table.
     """
-    xs = [f"x{k}" for k in range(D)]
-    med = {r["lang"]: np.array([r[x] for x in xs]) for r in v.groupBy("lang").agg(*[F.percentile_approx(x, 0.5, 10000).alias(x) for x in xs]).collect()}
-    if not med:
+    xs, vs = _COLUMNS[:D], _COLUMNS[D:]
+    first = v.groupBy("lang").agg(*[F.percentile_approx(x, 0.5, 10000).alias(x) for x in xs], *[F.avg(x).alias(x) for x in vs]).collect()
+    if not first:
         return {}
+    med = {r["lang"]: np.array([r[x] for x in xs]) for r in first}
+    own = {r["lang"]: np.array([r[x] for x in vs]) for r in first}  # mean variance of an estimate
     flat = {lang: (m, np.eye(D)) for lang, m in med.items()}
     dev = _distances(v, flat).groupBy("lang").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m{k}")), 0.5, 10000).alias(x) for k, x in enumerate(xs)]).collect()
-    model = {}
-    for r in dev:
-        scale = np.maximum(1.4826 * np.array([r[x] for x in xs]), FLOORS)
-        model[r["lang"]] = (med[r["lang"]], np.diag(scale**-2.0))
+    model = {r["lang"]: (med[r["lang"]], np.diag(1 / ((1.4826 * np.array([r[x] for x in xs])) ** 2 + own[r["lang"]]))) for r in dev}
     for _ in range(STEPS):
         core = _distances(v, model).where(F.col("d2") <= CORE)
         sums = [F.sum(x).alias(x) for x in xs] + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"c{i}{j}") for i in range(D) for j in range(i, D)]
@@ -183,8 +205,7 @@ def robust_model(v: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
             n = r["n"]
             mu = np.array([r[x] for x in xs]) / n
             second = np.array([[r[f"c{min(i, j)}{max(i, j)}"] for j in range(D)] for i in range(D)]) / n
-            cov = 1.15 * (second - np.outer(mu, mu)) + np.diag(FLOORS**2)
-            model[r["lang"]] = (mu, np.linalg.inv(cov))
+            model[r["lang"]] = (mu, np.linalg.inv(TRIMMED * (second - np.outer(mu, mu)) + np.diag(own[r["lang"]])))
     return model
 
 

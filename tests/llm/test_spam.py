@@ -40,6 +40,20 @@ def test_spam_and_prose(spark):
     assert got == set(SPAM)
 
 
+def test_shares_know_how_little_they_have_seen():
+    assert S.estimate(0.0, 1)[1] > S.estimate(0.0, 10)[1] > S.estimate(0.0, 1000)[1] > 0
+    assert S.estimate(1.3, 50)[0] == S.estimate(1.0, 50)[0] < 1 and abs(S.estimate(0.3, 10**6)[0] - 0.3) < 1e-5
+    links = " | ".join(f"[Name{i}](https://x.example/{i})" for i in range(300))
+    assert S.features(links, "en")[1][0] > 0.8 and S.features(links[:60], "en")[2][0] > 10 * S.features(links, "en")[2][0]
+
+
+def test_a_language_of_few_documents(spark):
+    rng = random.Random(5)
+    df = spark.createDataFrame([(1, "de", "Der Turm ist von der Stadt aus gut zu sehen und wurde im Jahr erneuert."), (2, "en", prose(rng)), (3, "en", prose(rng)), (4, "en", prose(rng))], "doc_id long, lang string, text string")
+    got = S.spam_scores(S.vectors(df, F.col("doc_id"), F.col("lang"), F.col("text"))).collect()
+    assert len(got) == 4 and not any(r.spam for r in got)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "doc_id long, lang string, text string")
     assert S.spam_scores(S.vectors(df, F.col("doc_id"), F.col("lang"), F.col("text"))).count() == 0
@@ -63,8 +77,14 @@ def test_distance_against_numpy(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(400, S.D)) * 0.1
     x[:10] += S.SPAM_SIGN * 3
-    df = spark.createDataFrame([(i, "en", *map(float, r)) for i, r in enumerate(x)], "doc_id long, lang string, " + ", ".join(f"x{k} double" for k in range(S.D)))
+    schema = "doc_id long, lang string, " + ", ".join(f"{c}{k} double" for c in "xv" for k in range(S.D))
+    df = spark.createDataFrame([(i, "en", *map(float, r), *[0.002] * S.D) for i, r in enumerate(x)], schema)
     mu, p = S.robust_model(df)["en"]
+    centre, second = np.median(x, 0), np.eye(S.D) / ((1.4826 * np.median(np.abs(x - np.median(x, 0)), 0)) ** 2 + 0.002)
+    for _ in range(S.STEPS):  # the same steps on all rows at once
+        core = x[np.einsum("ij,jk,ik->i", x - centre, second, x - centre) <= S.CORE]
+        centre, second = core.mean(0), np.linalg.inv(S.TRIMMED * np.cov(core.T, bias=True) + 0.002 * np.eye(S.D))
+    assert np.allclose(mu, centre, atol=0.01) and np.allclose(p, second, rtol=0.1, atol=2)
     got = {r.doc_id: r.d2 for r in S.spam_scores(df).collect()}
     want = np.einsum("ij,jk,ik->i", x - mu, p, x - mu)
     assert all(abs(got[i] - want[i]) < 1e-6 * (1 + want[i]) for i in range(400))
