@@ -2,12 +2,14 @@
 
 Every line that shows text is a node. The source stands for the article, the sink for furniture:
 
-* terminal capacities come from a naive Bayes classifier over the words and the shape of the line,
-  fitted on a bounded sample of pages whose own semantic markup (``nav``, ``footer``, ``aside``,
-  ``role``, against ``main`` and ``article``) labels their lines, and from where the line stands:
-  inside an element named for furniture, inside or outside the main container, before the title;
+* terminal capacities come from a naive Bayes classifier, fitted on a bounded sample of pages whose
+  own semantic markup (``nav``, ``footer``, ``aside``, ``role``, against ``main`` and ``article``)
+  labels their lines. It has two voices of limited strength: the words and the shape of the line, and
+  its surroundings: tags and class names around it, how much of it is linked, whether it stands in the
+  container of the title. No name or place is known beforehand; all their weights are learned;
 * adjacency edges join neighbouring lines, DOM edges join lines with the node of their innermost
-  container, and that node with the container around it.
+  container, and that node with the container around it. So a line that says little, or that two
+  voices dispute, goes where the lines around it go.
 
 The cut of least cost separates article and furniture; maximum flow finds it exactly. Nodes whose
 terminal capacity is worth more than all their edges are settled beforehand (they keep their side in
@@ -35,51 +37,56 @@ _ATTR = re.compile(r"(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\
 CONTAINERS = frozenset("div section article main header footer aside nav table ul ol dl form fieldset center body details dialog".split())
 _VOID = frozenset("br img hr input meta link source wbr area base col embed param track".split())
 _CLOSED_BY = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}}
-_FURNITURE_TAG = frozenset("nav header footer aside button select form dialog".split())
+#: Semantic markup of furniture, which labels lines in training.
+_FURNITURE_TAG = frozenset("nav footer aside button select form dialog".split())
 _FURNITURE_ROLE = re.compile(r"navigation|banner|contentinfo|complementary|search|dialog|menu|toolbar|tablist|alert")
-_FURNITURE_NAME = re.compile(
-    r"(?:^|[-_ ])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|path|crumbs?|foot|footer|sidebar|side|cookies?|consent|gdpr|banner|promo|ads?|advert|advertisement|sponsor(?:ed)?|newsletter|subscribe|signup"
-    r"|share|sharing|social|related|recommend(?:ed|ations)?|popular|trending|comments?|editsection|edit|toolbar|pagination|pager|login|masthead|skip|copyright|legal|feedback|widget|popup|modal|overlay)(?:[-_ ]|$)"
-)
+#: Tags that say something about the lines in them.
+_TELLING = frozenset("nav header footer aside section form button dialog select li dt dd td th caption h1 h2 h3 h4 h5 h6 p blockquote figure figcaption pre center font".split())
+#: Links that act on the page instead of leading to another: edit, print, share, log in, top.
+_ACTION = re.compile(r"href\s*=\s*[\"']?[^\"'>\s]*?(?:[/?&#]|action=)(?:edit|print|share|login|signup|top)(?![a-z])", re.I)
+#: Elements around a line whose tags and names count.
+AROUND = 4
 _WORD = re.compile(r"[一-鿿]+|[^\W\d_一-鿿]+|\d+|[|/·•>©\[\]]")
 _FIELD = re.compile(r"\s*[^\s:：][^:：]{0,40}[:：]\s*\S")
 _HAN = re.compile(r"[一-鿿]")
 _SHOWS = re.compile(r"[^\s​-‏ - ⁠-⁯﻿\xad]")
 
-_ALONE = 1 << 30
-
-#: Documented bound of the training sample, in pages.
-TRAIN_PAGES = 4000
-#: Strength of edges and of priors by place, in the unit of the classifier's log odds.
-NEAR, APART, HUB, UP = 1.5, 0.5, 0.8, 0.3
+#: Documented bound of the training sample, in pages looked at, of which the ones with semantic markup are used.
+TRAIN_PAGES = 40_000
+#: Strength of edges in the unit of the classifier's log odds: captured lines near each other or apart; lines in one container or not, with it, and it with the next.
+NEAR, APART, BESIDE, CROSS, HUB, UP = 1.5, 0.5, 0.4, 0.2, 0.5, 0.3
 #: Weight from which a short line is a known heading of articles.
 FAMILIAR = 2.0
 #: Occurrences at which a token has half of its say.
 SHRINK = 8.0
-LIMIT, NAMED, OUTSIDE, INSIDE, BEFORE_TITLE, TITLE = 6.0, 9.0, 8.0, 1.0, 4.0, 9.0
+#: The most that the words and the surroundings of a line can say, and what is known of the title and before it.
+LIMIT, SURROUNDINGS, BEFORE_TITLE, TITLE = 5.0, 5.0, 4.0, 9.0
 
 
 class Line:
-    """``named``: 0, or 1 + the container of the innermost element named for furniture around it."""
+    """``box``: innermost container; ``around``: for each of the elements around its container (-1 if it is none) and tokens; ``linked``: characters in
+    links, ``acting`` those in links that act on the page; ``weak``: what semantic markup says, True for
+    furniture, None for nothing."""
 
-    __slots__ = ("no", "text", "box", "named", "gap")
+    __slots__ = ("no", "text", "box", "around", "linked", "acting", "weak", "gap")
 
-    def __init__(self, no: int, box: int, named: int):
-        self.no, self.box, self.named, self.text, self.gap = no, box, named, "", False
+    def __init__(self, no: int, box: int, around: tuple = (), weak: bool | None = None):
+        self.no, self.box, self.around, self.weak, self.text, self.linked, self.acting, self.gap = no, box, around, weak, "", 0, 0, False
 
 
 def html_lines(data: str) -> tuple[list[Line], list[int], int]:
     """Lines that show text, the parent of each container (-1: none), and the container of the first h1."""
     lines: dict[int, Line] = {}
     parents = [-1]
-    stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]  # tag, container, named, hidden
+    # tag, container, semantic label, hidden, tokens of the elements around, in a link (2: one that acts)
+    stack: list[tuple[str, int, bool | None, bool, tuple, int]] = [("", 0, None, False, (), 0)]
     no, at, h1 = 0, 0, -1
 
     def put(text: str) -> None:
         nonlocal no
         if not text:
             return
-        _, box, named, hidden = stack[-1]
+        _, box, weak, hidden, around, link = stack[-1]
         parts = text.split("\n") if "\n" in text else [text]
         for k, part in enumerate(parts):
             if k:
@@ -87,10 +94,11 @@ def html_lines(data: str) -> tuple[list[Line], list[int], int]:
             if not hidden and part and not part.isspace():
                 ln = lines.get(no)
                 if ln is None:
-                    lines[no] = ln = Line(no, box, named)
-                elif not named:
-                    ln.named = 0
+                    lines[no] = ln = Line(no, box, around, weak)
                 ln.text += part
+                if link:
+                    ln.linked += len(part)
+                    ln.acting += len(part) if link > 1 else 0
 
     for m in _PIECE.finditer(data):
         put(data[at : m.start()])
@@ -119,32 +127,36 @@ def html_lines(data: str) -> tuple[list[Line], list[int], int]:
                 stack.pop()
         elif stack[-1][0] == "p" and (tag in CONTAINERS or tag in ("h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "figure", "pre")):
             stack.pop()
-        _, box, named, hidden = stack[-1]
+        _, box, weak, hidden, around, link = stack[-1]
         if tag in CONTAINERS:
             parents.append(box)
             box = len(parents) - 1
         elif tag in ("td", "th") and no in lines:
             lines[no].text += " "
-        fresh = tag in _FURNITURE_TAG
+        own = [f"<{tag}"] if tag in _TELLING else []
+        furniture = tag in _FURNITURE_TAG or tag == "header" and weak is not False
         if attrs and not attrs.isspace():
             for a in _ATTR.finditer(attrs):
                 key = a.group(1).lower()
                 val = (a.group(2) or a.group(3) or a.group(4) or "").lower()
                 if key == "role":
-                    fresh = fresh or bool(_FURNITURE_ROLE.search(val))
+                    furniture = furniture or bool(_FURNITURE_ROLE.search(val))
+                    own.append(f"role={val}")
                 elif key in ("class", "id"):
-                    fresh = fresh or bool(_FURNITURE_NAME.search(val))
+                    own += [f".{w}" for w in val.split()]
                 elif key == "style":
                     hidden = hidden or "display:none" in val.replace(" ", "") or "visibility:hidden" in val.replace(" ", "")
                 elif key == "hidden" or val == "true":
                     hidden = hidden or key == "hidden"
-        if fresh:  # an element that holds no container names its line alone
-            named = 1 + (box if tag in CONTAINERS else _ALONE)
+        if furniture:
+            weak = True
         elif tag in ("main", "article"):
-            named = 0
+            weak = False
+        if own:
+            around = (*around[-AROUND + 1 :], (box if tag in CONTAINERS else -1, *own))
         if tag == "h1" and h1 < 0:
             h1 = box
-        stack.append((tag, box, named, hidden))
+        stack.append((tag, box, weak, hidden, around, link if tag != "a" else 2 if _ACTION.search(attrs) else 1))
     put(data[at:])
     out = []
     for ln in lines.values():
@@ -160,7 +172,7 @@ def text_lines(data: str) -> list[Line]:
     out, gap = [], False
     for no, t in enumerate(data.split("\n")):
         if _SHOWS.search(t):
-            ln = Line(no, 0, False)
+            ln = Line(no, 0)
             ln.text, ln.gap = t, gap
             out.append(ln)
             gap = False
@@ -206,32 +218,56 @@ def _shape(text: str) -> str:
     return "bullet" if s[:1] in "-*•·–" else "sentence" if s[-1:] in ".。!?！？”" or len(s) > 60 else "short"
 
 
+def surroundings(ln: Line, inside: list[bool] | None, holds: set[int]) -> set[str]:
+    """Tokens of what is around a line of an HTML page, and how it stands to the article's container.
+
+    That container and those that hold it are around all of the article, whatever they are named, so
+    their names say nothing about a line.
+    """
+    found = {t for box, *own in ln.around if box not in holds for t in own}
+    link = "linked" if ln.linked > 0.9 * len(ln.text.strip()) else "links" if ln.linked else "plain"
+    found.add(f"~{link}" if inside is None else f"~inside {link}" if inside[ln.box] else f"~outside {link}")
+    return found
+
+
+def _around_article(parents: list[int], main: int) -> tuple[list[bool] | None, set[int]]:
+    """Which containers are the article's or in it (None where that is the whole page), and which hold it."""
+    holds = set()
+    b = main
+    while b > 0:
+        holds.add(b)
+        b = parents[b]
+    if main <= 0:
+        return None, holds
+    inside = [False] * len(parents)
+    for b in range(main, len(parents)):
+        inside[b] = b == main or inside[parents[b]]
+    return inside, holds
+
+
 class Classifier:
     """Naive Bayes log odds of furniture (positive) against article (negative), per token."""
 
-    def __init__(self, weights: dict[str, float], prior: float):
+    def __init__(self, weights: dict[str, float], prior: float = 0.0):
         self.weights, self.prior = weights, prior
 
     @classmethod
-    def fit(cls, rows: Iterator[tuple[set[str], bool]]) -> Classifier:
-        counts = (Counter(), Counter())
-        n = [1, 1]
-        for toks, furniture in rows:
-            counts[furniture].update(toks)
-            n[furniture] += 1
+    def of_counts(cls, counts: dict[str, tuple[int, int]]) -> Classifier:
+        """From token -> (article lines, furniture lines) that have it; ``""`` stands for all lines."""
+        n = counts.get("", (0, 0))
         w = {}
-        for t in counts[0].keys() | counts[1].keys():
-            a, b = counts[1][t], counts[0][t]
-            if a + b > 1:  # rare tokens, names above all, have little say
-                odds = math.log((a + 0.3) / (n[1] + 1)) - math.log((b + 0.3) / (n[0] + 1))
+        for t, (b, a) in counts.items():
+            if t and a + b > 1:  # rare tokens, names above all, have little say
+                odds = math.log((a + 0.3) / (n[1] + 2)) - math.log((b + 0.3) / (n[0] + 2))
                 w[t] = max(-5.0, min(5.0, odds)) * (a + b) / (a + b + SHRINK)
-        return cls(w, 0.0)
+        return cls(w)
 
     def known(self, toks: set[str]) -> float | None:
         """Weight of a whole short line, where it was seen in training."""
         return next((self.weights.get(t) for t in toks if t[0] == "="), None)
 
     def score(self, toks: set[str]) -> float:
+        """What the words of a line say."""
         g = self.weights.get
         known = self.known(toks)
         if known is not None:  # it speaks for itself
@@ -240,12 +276,18 @@ class Classifier:
             return 0.0  # the shape alone has no say
         return max(-LIMIT, min(LIMIT, self.prior + sum([g(t, 0.0) for t in toks])))
 
+    def around(self, toks: set[str]) -> float:
+        """What the surroundings of a line say."""
+        g = self.weights.get
+        return max(-SURROUNDINGS, min(SURROUNDINGS, sum([g(t, 0.0) for t in toks])))
+
 
 def weak_labels(data: str, site: str) -> Iterator[tuple[set[str], bool]]:
-    """Labelled lines of a page with semantic markup."""
-    lines, _, _ = html_lines(data)
+    """Labelled lines of a page with semantic markup: what is outside its article is furniture."""
+    lines, parents, h1 = html_lines(data)
+    inside, holds = _around_article(parents, _main_box(lines, [-1.0] * len(lines), parents, h1))
     for ln in lines:
-        yield tokens(ln.text, site), ln.named > 0
+        yield tokens(ln.text, site) | surroundings(ln, inside, holds), ln.weak is not False or 2 * ln.acting >= len(ln.text.strip())
 
 
 def min_cut(unary: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
@@ -339,25 +381,11 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
         elif k == "short" and -FAMILIAR < (model.known(toks[i]) or 0.0) and not _FIELD.match(lines[i].text):
             unary[i] = max(unary[i], 0.0)  # a name alone may be a heading, a menu entry or a link: what is around it decides
     want = _plain(title) if title else ""
-    at = next((i for i, ln in enumerate(lines) if want and len(ln.text) < len(title) + 40 and _plain(ln.text) == want and not ln.named and (h1 < 0 or ln.box == h1)), -1)
+    at = next((i for i, ln in enumerate(lines) if want and len(ln.text) < len(title) + 40 and _plain(ln.text) == want and (h1 < 0 or ln.box == h1)), -1)
     if is_html:
-        main = _main_box(lines, scores, parents, h1 if h1 >= 0 else lines[at].box if at >= 0 else -1)
-        b = main
-        around = set()  # names of the main container and of what holds it say nothing about the lines in it
-        while b > 0:
-            around.add(b + 1)
-            b = parents[b]
-        inside = [False] * len(parents)
-        if main > 0:
-            for b in range(len(parents)):
-                inside[b] = b == main or parents[b] >= 0 and inside[parents[b]]
+        inside, holds = _around_article(parents, _main_box(lines, scores, parents, h1 if h1 >= 0 else lines[at].box if at >= 0 else -1))
         for i, ln in enumerate(lines):
-            if ln.named in around:
-                ln.named = 0
-            if ln.named:
-                unary[i] += NAMED
-            elif main > 0:
-                unary[i] += -INSIDE if inside[ln.box] else OUTSIDE
+            unary[i] += model.around(surroundings(ln, inside, holds))
     if at >= 0:
         unary[at] -= TITLE
         if not is_html:
@@ -367,7 +395,7 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
     for i in range(1, n):
         a, b = lines[i - 1], lines[i]
         if is_html:
-            edges[(i - 1, i)] = HUB if a.box == b.box and a.named == b.named else 0.2
+            edges[(i - 1, i)] = BESIDE if a.box == b.box else CROSS
         else:
             edges[(i - 1, i)] = APART * (0.5 if b.gap else 1) if b.gap or kinds[i - 1] != kinds[i] else NEAR
     if is_html:  # container nodes
@@ -387,7 +415,7 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
             return node[box]
 
         for i, ln in enumerate(lines):
-            if ln.box > 0 and not ln.named:
+            if ln.box > 0:
                 edges[(i, hub(ln.box))] = HUB
     return lines, min_cut(unary, edges)[:n]
 
@@ -417,19 +445,37 @@ def _main_box(lines: list[Line], scores: list[float], parents: list[int], start:
 # --- distributed operator ------------------------------------------------------------------------
 
 
+_MARKED = re.compile(r"<(?:nav|footer)\b", re.I), re.compile(r"<(?:main|article)\b", re.I)
+
+
+def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, article lines, furniture lines) of the marked pages of a partition; an empty token counts all lines."""
+    counts = (Counter(), Counter())
+    for b in batches:
+        for site, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            if all(r.search(data) for r in _MARKED):
+                for toks, furniture in weak_labels(data, (site or "").lower()):
+                    counts[furniture].update(toks)
+                    counts[furniture][""] += 1
+    words = sorted(counts[0].keys() | counts[1].keys())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(words, pa.string()), pa.array([counts[0][w] for w in words], pa.int64()), pa.array([counts[1][w] for w in words], pa.int64())], names=["token", "article", "furniture"]
+    )
+
+
 def fit(pages: DataFrame, pos: Column, site: Column, data: Column, n_rows: int, train_pages: int = TRAIN_PAGES) -> Classifier:
-    """Fit on at most ``train_pages`` semantically marked pages of smallest hashed position.
+    """Fit on the semantically marked ones of about ``train_pages`` pages, chosen by a hash of their position.
 
-    ``n_rows``: rows of the table behind ``pages``. Only positions whose hash is in the lowest
-    4 * train_pages / n_rows part are looked at, so what reaches the driver is bounded by the
-    parameter, whatever the size of the table. A table without marked pages gives a classifier
-    without an opinion, and the cut then follows place alone.
+    ``n_rows``: rows of the table behind ``pages``. Lines are labelled and counted where the pages are;
+    the driver gets the counts of tokens seen at least twice, which the bound of the sample bounds,
+    whatever the size of the table. A table without marked pages gives a classifier without an
+    opinion, and then nothing but the title and what stands before it is told apart.
     """
-    part = min(1.0, 4.0 * train_pages / max(n_rows, 1))
+    part = min(1.0, train_pages / max(n_rows, 1))
     low = F.xxhash64(pos) < int(-(2**63) + part * (2**64 - 1)) if part < 1 else F.lit(True)
-    marked = pages.where(low).where(data.rlike(r"(?i)<(?:nav|footer)\b") & data.rlike(r"(?i)<(?:main|article)\b"))
-    rows = marked.select(F.xxhash64(pos).alias("h"), site.alias("site"), data.alias("data")).orderBy("h").limit(train_pages).collect()
-    return Classifier.fit(x for r in rows for x in weak_labels(r["data"], (r["site"] or "").lower()))
+    parts = pages.where(low).select(site.alias("site"), data.alias("data")).mapInArrow(_token_counts, "token string, article long, furniture long")
+    sums = parts.groupBy("token").agg(F.sum("article").alias("article"), F.sum("furniture").alias("furniture")).where("article + furniture > 1")
+    return Classifier.of_counts({r["token"]: (r["article"], r["furniture"]) for r in sums.collect()})
 
 
 def _label(model: Classifier):

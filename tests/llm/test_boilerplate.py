@@ -16,7 +16,16 @@ def page(n, furniture=True):
     return f"<html><head><title>T</title></head>\n<body>\n{nav}<aside>\n<h3>Most read</h3>\n<div>Name{n}</div>\n</aside>\n<main><article>\n<h1>Title {n}</h1>\n<h2>History</h2>\n{body}\n<aside class=promo><p>Advertisement</p></aside>\n</article></main>\n{foot}\n</body></html>"
 
 
-MODEL = B.Classifier.fit(x for n in range(60) for x in B.weak_labels(page(n), "site.example"))
+def fit(pages):
+    counts = {}
+    for data in pages:
+        for toks, furniture in B.weak_labels(data, "site.example"):
+            for t in toks | {""}:
+                counts.setdefault(t, [0, 0])[furniture] += 1
+    return B.Classifier.of_counts(counts)
+
+
+MODEL = fit(page(n) for n in range(60))
 
 
 def furniture(data, is_html=True, title=None, site="site.example"):
@@ -53,6 +62,41 @@ def test_page_without_semantics():
     assert furniture(misleading) == furniture(page(97))
 
 
+def test_no_voice_is_louder_than_another():
+    far = [B.html_lines(page(n))[0] for n in range(3)]
+    for lines in far:
+        for ln in lines:
+            assert abs(MODEL.score(B.tokens(ln.text, "site.example"))) <= B.LIMIT
+            assert abs(MODEL.around({t for _, *own in ln.around for t in own})) <= B.SURROUNDINGS <= B.LIMIT
+
+
+def test_classifier_and_edges_decide(monkeypatch):
+    text = f"Home\nLog in\n\nTitle\nHistory\n{SENTENCE}\n- One\n- Two\nMost read\nNeverseen\nUnknownname\n\nPrivacy policy | Terms"
+    nothing = B.Classifier({})
+    lines, side = B.label(page(95), True, None, "site.example", nothing)
+    assert not any(side) and not any(B.label(text, False, None, "site.example", nothing)[1])
+    assert {"Neverseen", "Unknownname"} <= set(furniture(text, False, "Title"))
+    for name in ("NEAR", "APART", "BESIDE", "CROSS", "HUB", "UP"):
+        monkeypatch.setattr(B, name, 0.0)
+    assert not {"Neverseen", "Unknownname"} & set(furniture(text, False, "Title"))
+
+
+def test_a_container_pulls_what_says_little():
+    ln = [B.Line(i, 1) for i in range(4)]
+    assert len({x.box for x in ln}) == 1
+    # three lines of a container that are furniture, one that leans to the article by less than its edges
+    u = [3.0, 3.0, -0.7, 3.0, 0.0]
+    e = {(0, 1): B.BESIDE, (1, 2): B.BESIDE, (2, 3): B.BESIDE} | {(i, 4): B.HUB for i in range(4)}
+    assert B.min_cut(u, e)[:4] == [True] * 4 and B.min_cut(u, {})[:4] == [True, True, False, True]
+
+
+def test_names_are_learned():
+    named = [page(n).replace("<aside class=promo>", '<div class="box-x promo">').replace("</aside>\n</article>", "</div>\n</article>") for n in range(60)]
+    acting = [d.replace("<h2>History</h2>", '<h2>History</h2>\n<span class="edit-x">[<a href="/edit/1">change</a>]</span>') for d in named]
+    w = fit(acting).weights
+    assert w[".edit-x"] > 2 and ".box-x" in w and ".never" not in w and fit([page(1)]).weights.keys() <= fit([page(1), page(2)]).weights.keys()
+
+
 def test_captured_text():
     text = f"Home\nLog in\n\nTitle\nHistory\n{SENTENCE}\n- One\n- Two\nMost read\nNeverseen\nUnknownname\n\nPrivacy policy | Terms"
     assert furniture(text, False, "Title") == ["Home", "Log in", "Most read", "Neverseen", "Unknownname", "Privacy policy | Terms"]
