@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import jsonx
 from millrace.llm import representative
-from millrace.sources.tables import table
+from millrace.sources.tables import materialize, table
 
 #: Words standing for "nothing known", compared after dropping case, outer blanks and punctuation.
 STAND_INS = (
@@ -74,67 +74,90 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _usable() -> dict[str, Column]:
-    has = {n: F.col(n).isNotNull() for n in ("caption", "url", "data", "tags")}
-    return has | {"size": F.col("width").isNotNull() & F.col("height").isNotNull()}
+    return {n: F.col(n).isNotNull() for n in ("caption", "url", "data", "tags")}
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Width and height are bundles of their own, usable together; the width determines the height."""
     f = features(spark, sf_dir)
-    won = representative.choose(f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), _usable(), least=2)
-    return won.select(F.col("key").alias("image_id"), "field_name", "pos")
+    both = F.col("width").isNotNull() & F.col("height").isNotNull()
+    usable = _usable() | {"size": both, "height": both}
+    won = representative.choose(f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), usable, deps=[("size", "height")], values={"size": F.col("width")}, least=2)
+    return won.where("field_name <> 'height'").select(F.col("key").alias("image_id"), "field_name", "pos")
 
 
 def p2_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The surviving record of every image; its size is one seen beside its url, where any was seen beside a usable url, else the best usable one."""
-    f = features(spark, sf_dir)
+    """The surviving record of every image. Its size and its caption are ones seen beside its url, where
+    any was seen beside a usable url, else the best usable ones."""
+    f = materialize(features(spark, sf_dir), "label-features")
+    usable = _usable() | {"size": F.col("width").isNotNull() & F.col("height").isNotNull()}
+    carry = {n: F.col(n) for n in ("caption", "url", "data")} | {"tags": F.array_join("tags", "|", ""), "size": F.concat_ws("x", "width", "height")}
     won = representative.choose(
-        f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), _usable(), deps=[("url", "size")], values={"url": F.col("url")}
+        f, F.col("image_id"), F.col("pos"), F.col("trust"), F.col("at"), usable, deps=[("url", "size"), ("url", "caption")], values={"url": F.col("url")}, carry=carry
     )
-    # rows are met by the fields they won, once per row
-    rows = won.groupBy(F.col("pos").alias("p")).agg(F.first("key").alias("key"), F.collect_set("field_name").alias("won"))
-    rows = f.drop("image_id", "trust", "at").join(rows, F.col("p") == F.col("pos"))
-    pick = lambda c, n: F.max(F.when(F.array_contains("won", n), c))
-    return rows.groupBy(F.col("key").alias("image_id")).agg(
-        pick(F.col("caption"), "caption").alias("caption"), pick(F.col("width"), "size").alias("width"), pick(F.col("height"), "size").alias("height"),
-        pick(F.col("url"), "url").alias("url"), pick(F.col("data"), "data").alias("data"), pick(F.array_join("tags", "|", ""), "tags").alias("tags"),
-        F.sum(F.size("won")).alias("n_fields"),
+    pick = lambda n: F.max(F.when(F.col("field_name") == n, F.col("value")))
+    size = lambda i: F.split(pick("size"), "x")[i].cast("long")
+    return won.groupBy(F.col("key").alias("image_id")).agg(
+        pick("caption").alias("caption"), size(0).alias("width"), size(1).alias("height"), pick("url").alias("url"), pick("data").alias("data"), pick("tags").alias("tags"),
+        F.count(F.lit(1)).alias("n_fields"),
     )
 
 
 QUERIES = {"p2_found": p2_found, "p2_survivors": p2_survivors}
-_STANDS = ", ".join(f"'{w}'" for w in STAND_INS)
-SQL = {
-    "p2_found": r"""
-with src as (
-  select nullif(regexp_extract(lower(id), '[0-9a-f]{64}'), '') as image_id, pos, data, tags,
+#: Words for "nothing known" as the SQL has them, written apart from the operator's list.
+_STANDS = """none null nil nan na n/a n.a undefined unknown unnamed untitled missing empty blank tbd tba placeholder default image images bild imagen img
+unbekannt unbenannt keine fehlt desconocido desconocida ninguno ninguna s/t vacío нет неизвестно отсутствует изображение 无 無 未知 暂无 不详 不明 没有 空 图片 图像""".split() + [
+    "no title", "no caption", "no description", "not available", "ohne titel", "kein titel", "keine beschreibung", "keine angabe", "k. a", "sin título", "sin titulo", "sin descripción", "no disponible",
+    "без названия", "без подписи", "нет данных", "нет описания", "无标题", "无题", "无说明",
+]
+
+
+def _sql_says(c: str) -> str:
+    bare = rf"regexp_replace(lower(regexp_replace({c}, '^[\s\p{{P}}\p{{S}}]+|[\s\p{{P}}\p{{S}}]+$', '', 'g')), '\s+', ' ', 'g')"
+    words = ", ".join(f"'{w}'" for w in _STANDS)
+    return rf"coalesce({bare} <> '' and {bare} not in ({words}) and not regexp_matches({c}, '(?i)^\s*(file:)?\S*\.(jpe?g|png|gif|webp|svg)\s*$'), false)"
+
+
+_NUMBER = r"^\s*\+?0*[1-9]\d*(\.0*)?\s*(px)?\s*$"
+_F = rf"""with src as (
+  select nullif(regexp_extract(lower(id), '[0-9a-f]{{64}}'), '') as image_id, pos, data, tags,
     case when json_valid(info) and json_type(info) = 'OBJECT' then info end as j from image_labels),
 f as (select image_id, pos, data, tags, json_extract_string(j, '$.caption_text') as c1, json_extract_string(j, '$.caption') as c2,
     json_extract_string(j, '$.width') as w, json_extract_string(j, '$.height') as h, json_extract_string(j, '$.image_url') as u,
     trim(json_extract_string(j, '$.crawl_time')) as t, lower(trim(json_extract_string(j, '$.label_source'))) as s
   from src where image_id is not null),
-ok as (select f.*, coalesce(l.trust, -1) as trust,
-    coalesce(case when regexp_matches(t, '^\d+(\.\d+)?$') then case when cast(t as double) >= 1e11 then cast(t as double) * 1000 else cast(t as double) * 1e6 end
-      else epoch_us(try_cast(t as timestamptz)) end, -1e17) as seen
+ok as (select f.*, coalesce(l.trust, {representative.NO_TRUST}) as trust,
+    coalesce(case when regexp_matches(t, '^\d+(\.\d+)?$') then cast(case when cast(t as double) >= 1e11 then cast(t as double) * 1000 else cast(t as double) * 1e6 end as bigint)
+      else epoch_us(try_cast(t as timestamptz)) end, {representative.NO_TIME}) as seen
   from f left join label_sources l on lower(trim(l.label_source)) = f.s),
-says as (select *, SAYS_C1 or SAYS_C2 as u_caption, SAYS_DATA as u_data,
-    NUM_W and NUM_H as u_size,
+says as (select *, {_sql_says("c1")} as u1, u1 or {_sql_says("c2")} as u_caption, {_sql_says("data")} as u_data,
+    coalesce(regexp_matches(w, '(?i){_NUMBER}') and regexp_matches(h, '(?i){_NUMBER}'), false) as u_size,
     coalesce(regexp_matches(u, '^\s*(https?:)?//[^/\s]'), false) as u_url,
-    coalesce(len(list_filter(tags, lambda x: regexp_matches(x, '\S'))) > 0, false) as u_tags, count(*) over (partition by image_id) as n from ok),
-long as (unpivot (select image_id, pos, trust, seen, u_caption as caption, u_data as data, u_size as size, u_url as url, u_tags as tags from says where n >= 2)
+    coalesce(len(list_filter(tags, lambda x: regexp_matches(x, '\S'))) > 0, false) as u_tags, count(*) over (partition by image_id) as n from ok)
+"""
+SQL = {
+    "p2_found": _F
+    + """, long as (unpivot (select image_id, pos, trust, seen, u_caption as caption, u_data as data, u_size as size, u_url as url, u_tags as tags from says where n >= 2)
   on caption, data, size, url, tags into name field_name value usable)
 select image_id, field_name, pos from long where usable
-qualify row_number() over (partition by image_id, field_name order by trust desc, seen desc, pos) = 1"""
+qualify row_number() over (partition by image_id, field_name order by trust desc, seen desc, pos) = 1""",
+    # every url of an image with the best size and caption beside it, all combinations ranked, without any bound
+    "p2_survivors": _F
+    + r""", v as (select image_id, pos, trust, seen, u_url, u as url, u_size, cast(regexp_extract(w, '\d+') as bigint) as width, cast(regexp_extract(h, '\d+') as bigint) as height,
+    u_caption, case when u1 then c1 else c2 end as caption, u_data, data, u_tags, array_to_string(list_transform(tags, lambda x: coalesce(x, '')), '|') as tags from says),
+urls as (select * from v where u_url qualify row_number() over (partition by image_id, url order by trust desc, seen desc, pos) = 1),
+us as (select * from v where u_url and u_size qualify row_number() over (partition by image_id, url order by trust desc, seen desc, pos) = 1),
+uc as (select * from v where u_url and u_caption qualify row_number() over (partition by image_id, url order by trust desc, seen desc, pos) = 1),
+combos as (select a.image_id, a.url, s.width, s.height, c.caption, 1 + (s.pos is not null)::int + (c.pos is not null)::int as k, a.trust + coalesce(s.trust, 0) + coalesce(c.trust, 0) as t,
+    a.seen + coalesce(s.seen, 0) + coalesce(c.seen, 0) as e, a.pos + coalesce(s.pos, 0) + coalesce(c.pos, 0) as p
+  from urls a left join us s on s.image_id = a.image_id and s.url = a.url left join uc c on c.image_id = a.image_id and c.url = a.url),
+won as (select * from combos qualify row_number() over (partition by image_id order by k desc, t desc, e desc, p) = 1),
+free_size as (select * from v where u_size and image_id not in (select image_id from us) qualify row_number() over (partition by image_id order by trust desc, seen desc, pos) = 1),
+free_caption as (select * from v where u_caption and image_id not in (select image_id from uc) qualify row_number() over (partition by image_id order by trust desc, seen desc, pos) = 1),
+best_data as (select * from v where u_data qualify row_number() over (partition by image_id order by trust desc, seen desc, pos) = 1),
+best_tags as (select * from v where u_tags qualify row_number() over (partition by image_id order by trust desc, seen desc, pos) = 1)
+select *, (caption is not null)::bigint + (width is not null)::bigint + (url is not null)::bigint + (data is not null)::bigint + (tags is not null)::bigint as n_fields
+from (select i.image_id, coalesce(w.caption, fc.caption) as caption, coalesce(w.width, fs.width) as width, coalesce(w.height, fs.height) as height, w.url, d.data, g.tags
+  from (select distinct image_id from v) i left join won w using (image_id) left join free_size fs using (image_id) left join free_caption fc using (image_id)
+  left join best_data d using (image_id) left join best_tags g using (image_id)) where coalesce(caption, url, data, tags) is not null or width is not null""",
 }
-
-
-def _sql_says(c: str) -> str:
-    bare = rf"regexp_replace(lower(regexp_replace({c}, '^[\s\p{{P}}\p{{S}}]+|[\s\p{{P}}\p{{S}}]+$', '', 'g')), '\s+', ' ', 'g')"
-    return rf"coalesce({bare} <> '' and {bare} not in ({_STANDS}) and not regexp_matches({c}, '(?i)^\s*(file:)?\S*\.(jpe?g|png|gif|webp|svg)\s*$'), false)"
-
-
-def _sql_num(c: str) -> str:
-    return rf"coalesce(regexp_matches({c}, '(?i)^\s*\+?0*[1-9]\d*(\.0*)?\s*(px)?\s*$'), false)"
-
-
-for _name, _text in {"SAYS_C1": _sql_says("c1"), "SAYS_C2": _sql_says("c2"), "SAYS_DATA": _sql_says("data"), "NUM_W": _sql_num("w"), "NUM_H": _sql_num("h")}.items():
-    SQL["p2_found"] = SQL["p2_found"].replace(_name, _text)

@@ -9,13 +9,16 @@ latest times, then the smallest positions wins. The combination is found by bran
 
 * dominance: of all rows with the same bundle and the same determining value only the best can be
   in an optimal combination. This is one map-side aggregation, so a group holding a third of all
-  rows reaches a task as one row per partition (or per determining value);
-* where dependencies leave many determining values, those whose upper bound is below the best known
-  combination are cut off by joins on aggregates, before anything is gathered;
-* the rest, a handful per group, is searched depth first, best trust first, cutting off branches
-  whose bound (value so far + best of each open bundle) doesn't beat the incumbent.
-
-Without dependencies between bundles the bound of the root is reached at the first leaf.
+  rows reaches a task as one row per partition (or per determining value). A bundle that no
+  dependency links to another is decided by it, as the sum is best where each part is;
+* for linked bundles each determining value has a bound: its own rank and the best of each bundle
+  that depends on it, seen beside it. Values whose bound is below the best of the group are cut off
+  by joins on aggregates, before anything is gathered, so what a task gets of a group is a handful of
+  candidates, however many determining values the group has;
+* these are searched depth first, best trust first, cutting off branches whose bound (value so far +
+  best of each open bundle) doesn't beat the incumbent.
+
+Dependencies form stars: a bundle may determine several, and none of these determines another.
 """
 
 from __future__ import annotations
@@ -33,9 +36,6 @@ NO_TIME = -(10**16)
 #: Trust of rows whose source is not listed.
 NO_TRUST = -1000
 
-_SCORE = "trust int, at long, neg_pos long"
-
-
 def solve(candidates: dict[str, list[tuple]], deps: list[tuple[str, str]]) -> dict[str, int]:
     """Branch and bound for one group.
 
@@ -81,88 +81,96 @@ def solve(candidates: dict[str, list[tuple]], deps: list[tuple[str, str]]) -> di
 def _search(deps: list[tuple[str, str]], out: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, fields, poss = [], [], []
+            keys, fields, poss, values = [], [], [], []
             for k, cands in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 by: dict[str, list[tuple]] = {}
+                value = {}
                 for c in cands:
-                    if c["trust"] is not None:
-                        by.setdefault(c["bundle"], []).append((c["trust"], c["at"], -c["neg_pos"], c["sig"]))
+                    by.setdefault(c["bundle"], []).append((c["trust"], c["at"], -c["neg_pos"], c["sig"]))
+                    value[c["bundle"], -c["neg_pos"]] = c["value"]
                 for name, pos in solve(by, deps).items():
                     keys.append(k)
                     fields.append(name)
                     poss.append(pos)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(fields, pa.string()), pa.array(poss, pa.int64())], schema=out)
+                    values.append(value[name, pos])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(fields, pa.string()), pa.array(poss, pa.int64()), pa.array(values, pa.string())], schema=out)
 
     return run
 
 
-def _bounded(cands: DataFrame, deps: list[tuple[str, str]]) -> DataFrame:
+_RANKS = ("trust", "at", "neg_pos")
+
+
+def _bounded(cands: DataFrame, det: str, below: list[str]) -> DataFrame:
     """Cut off determining values that can't be in an optimal combination, without gathering them.
 
-    Per group one row of aggregates is joined back: the best complete combination known (a determining
-    value with the best of its dependents) and the best of each dependent bundle under any value.
-    A dependent bundle never seen beside a determining value is free: its best row is kept and adds
-    the same to every combination.
+    The bound of a value is its rank and those of the best dependents seen beside it, which is tight,
+    so only ties stay. A dependent bundle never seen beside a determining value is free: its best row
+    is kept and adds the same to every combination.
     """
-    ranks = ("n", "trust", "at", "neg_pos")
-    total = lambda *s: F.struct(*[sum(x[f] for x in s).alias(f) for f in ranks])
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"))
-    chained = {b for _, b in deps} & {a for a, _ in deps}
-    for det in sorted({a for a, _ in deps}):
-        below = [b for a, b in deps if a == det]
-        if chained & {det, *below}:
-            continue  # chains of dependencies are left to the search
-        s = F.struct(F.lit(1).alias("n"), "trust", "at", "neg_pos")
-        mine = cands.where(F.col("bundle").isin(det, *below))
-        per = mine.groupBy("key", "sig").agg(*[F.max(F.when(F.col("bundle") == n, s)).alias(n) for n in (det, *below)])
-        low = F.when(F.col(det).isNotNull(), total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]))
-        top = per.groupBy(F.col("key").alias("k")).agg(F.max(low).alias("known"), *[F.max(b).alias(f"top_{b}") for b in below],
-            *[F.max(F.when(F.col(det).isNotNull(), F.col(b))).alias(f"beside_{b}") for b in below])
-        free = {b: F.col(f"beside_{b}").isNull() for b in below}
-        known = total(F.col("known"), *[F.when(free[b], F.coalesce(F.col(f"top_{b}"), zero)).otherwise(zero) for b in below])
-        up = total(F.col(det), *[F.coalesce(F.col(f"beside_{b}"), F.col(f"top_{b}"), zero) for b in below])
-        kept = per.join(top, F.col("key") == F.col("k")).where(F.col(det).isNull() | (up >= known))
-        value = {det: F.col(det)} | {b: F.when(F.col(det).isNotNull() | free[b], F.col(b)) for b in below}
-        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), v.alias("s")) for n, v in value.items()]))
-        again = kept.select("key", "sig", offers.alias("o")).where("o.s is not null").select("key", "o.bundle", "sig", "o.s.trust", "o.s.at", "o.s.neg_pos")
-        cands = cands.where(~F.col("bundle").isin(det, *below)).unionByName(again)
-    return cands
+    total = lambda *s: F.struct(*[sum(x[f] for x in s).alias(f) for f in ("n", *_RANKS)])
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"), F.lit(None).cast("string").alias("value"))
+    s = F.struct(F.lit(1).alias("n"), *_RANKS, "value")
+    per = cands.groupBy("key", "sig").agg(*[F.max(F.when(F.col("bundle") == n, s)).alias(n) for n in (det, *below)])
+    bound = F.when(F.col(det).isNotNull(), total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]))
+    per = per.withColumn("bound", bound)
+    top = per.groupBy(F.col("key").alias("k")).agg(
+        F.max("bound").alias("known"), *[F.max(b).alias(f"top_{b}") for b in below], *[F.max(F.when(F.col(det).isNotNull(), F.col(b))).alias(f"beside_{b}") for b in below]
+    )
+    free = {b: F.col(f"beside_{b}").isNull() & (F.col(b) == F.col(f"top_{b}")) for b in below}
+    open_ = F.col("bound") >= F.col("known")
+    value = {det: F.when(open_, F.col(det))} | {b: F.when(free[b] | open_, F.col(b)) for b in below}
+    offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), v.alias("s")) for n, v in value.items()]))
+    kept = per.join(top, F.col("key") == F.col("k")).select("key", "sig", offers.alias("o")).where("o.s is not null")
+    return kept.select("key", "o.bundle", "sig", "o.s.trust", "o.s.at", "o.s.neg_pos", "o.s.value")
 
 
 def choose(
     df: DataFrame, key: Column, pos: Column, trust: Column, at: Column, usable: dict[str, Column],
-    deps: list[tuple[str, str]] | None = None, values: dict[str, Column] | None = None, least: int = 1,
+    deps: list[tuple[str, str]] | None = None, values: dict[str, Column] | None = None, least: int = 1, carry: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """(key, field_name, pos): the row each bundle of each group survives from.
+    """(key, field_name, pos, value): the row each bundle of each group survives from.
 
     ``usable``: bundle -> condition; a bundle without a usable row gives no row. ``trust`` null
     ranks below all, ``at`` (microseconds) null is oldest. ``values``: value of each determining
-    bundle, needed for ``deps``. ``least``: smallest number of rows of a group (repeated rows
-    count). Rows with a null key belong to no group; an empty table gives an empty result. Columns
-    of ``df`` may have any names.
+    bundle, needed for ``deps``. ``carry``: what the result tells as ``value`` of a bundle, as text,
+    so that nothing has to be joined back; null where not given. ``least``: smallest number of rows of
+    a group (repeated rows count). Rows with a null key belong to no group; an empty table gives an
+    empty result. Columns of ``df`` may have any names.
     """
     deps = deps or []
+    det = {b: a for a, b in deps}
+    if set(det) & set(det.values()):
+        raise ValueError("dependencies have to form stars: a bundle that depends on another determines none")
     t, a = F.coalesce(trust, F.lit(NO_TRUST)), F.coalesce(at, F.lit(NO_TIME))
     rank = F.struct(t.cast("int").alias("trust"), a.cast("long").alias("at"), (-pos.cast("long")).alias("neg_pos"))
-    det = {b: a for a, b in deps}
     linked = [n for n in usable if n in det or n in det.values()]
     free = [n for n in usable if n not in linked]
     sigs = {n: F.when(usable[det.get(n, n)], F.xxhash64(values[det.get(n, n)])) for n in linked}
-    rows = df.select(key.alias("key"), rank.alias("rank"), *[F.coalesce(u, F.lit(False)).alias(f"u_{n}") for n, u in usable.items()], *[s.alias(f"s_{n}") for n, s in sigs.items()]).where("key is not null")
-    out = pa.schema([("key", pa.string()), ("field_name", pa.string()), ("pos", pa.int64())])
-    found = "key string, field_name string, pos long"
+    told = {n: (carry or {}).get(n, F.lit(None)).cast("string") for n in usable}
+    rows = df.select(
+        key.alias("key"), rank.alias("rank"), *[F.coalesce(u, F.lit(False)).alias(f"u_{n}") for n, u in usable.items()],
+        *[s.alias(f"s_{n}") for n, s in sigs.items()], *[v.alias(f"v_{n}") for n, v in told.items()],
+    ).where("key is not null")
     # Sums over bundles are best where each component of linked bundles is, so components are searched apart
-    best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(F.col(f"u_{n}"), F.col("rank"))).alias(n) for n in free]).where(F.col("n") >= least)
-    null_sig = F.lit(None).cast("long")
-    c = [F.struct(F.lit(n).alias("bundle"), null_sig.alias("sig"), F.col(n)["trust"].alias("trust"), F.col(n)["at"].alias("at"), F.col(n)["neg_pos"].alias("neg_pos")) for n in free]
-    won = best.select("key", F.array(*c).alias("c")).mapInArrow(_search([], out), found) if free else None
+    ranked = lambda n: F.struct("rank.*", F.col(f"v_{n}").alias("value"))  # noqa: E731 - the value is behind the position, so it never decides
+    best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(F.col(f"u_{n}"), ranked(n))).alias(n) for n in free]).where(F.col("n") >= least)
+    won = None
+    if free:
+        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), F.col(n).alias("s")) for n in free]))
+        won = best.select("key", offers.alias("o")).where("o.s is not null").select("key", "o.field_name", (-F.col("o.s.neg_pos")).alias("pos"), "o.s.value")
     if linked:
-        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(f"s_{n}").alias("sig"), F.col(f"u_{n}").alias("u")) for n in linked]))
-        long = rows.select("key", "rank", offers.alias("o")).where("o.u").groupBy("key", F.col("o.bundle").alias("bundle"), F.col("o.sig").alias("sig")).agg(F.max("rank").alias("rank"))
+        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(f"s_{n}").alias("sig"), F.col(f"u_{n}").alias("u"), F.col(f"v_{n}").alias("value")) for n in linked]))
+        long = rows.select("key", "rank", offers.alias("o")).where("o.u").groupBy("key", F.col("o.bundle").alias("bundle"), F.col("o.sig").alias("sig"))
+        long = long.agg(F.max(F.struct("rank.*", "o.value")).alias("rank"))
         if least > 1:
             long = long.join(best.select("key"), "key", "left_semi")
-        cands = _bounded(materialize(long.select("key", "bundle", "sig", "rank.*"), "candidates"), deps)
-        groups = cands.groupBy("key").agg(F.collect_list(F.struct("bundle", "sig", "trust", "at", "neg_pos")).alias("c"))
-        more = groups.mapInArrow(_search(deps, out), found)
-        won = more if won is None else won.unionByName(more)
+        cands = materialize(long.select("key", "bundle", "sig", "rank.*"), "candidates")
+        out = pa.schema([("key", pa.string()), ("field_name", pa.string()), ("pos", pa.int64()), ("value", pa.string())])
+        for d in sorted(set(det.values())):
+            below = [b for b, x in det.items() if x == d]
+            few = _bounded(cands.where(F.col("bundle").isin(d, *below)), d, below)
+            groups = few.groupBy("key").agg(F.collect_list(F.struct("bundle", "sig", *_RANKS, "value")).alias("c"))
+            more = groups.mapInArrow(_search([(d, b) for b in below], out), "key string, field_name string, pos long, value string")
+            won = more if won is None else won.unionByName(more)
     return won

@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.llm import label_records as L
@@ -65,6 +66,41 @@ def test_size_survives_where_none_was_seen_beside_a_url(spark):
     assert choose(spark, rows, [("a", "b")]) == brute([r for r in rows if r[0] in tied], [("a", "b")]) | brute(free, None)
 
 
+def test_two_dependents_and_carried_values(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ghi"), i, rng.choice([1, 2, 9]), rng.choice([5, 6]), rng.choice([None, "x", "y", "z"]), rng.choice([None, "u", "v"]), rng.choice([None, "c"])) for i in range(90)]
+    df = spark.createDataFrame(rows, ROWS)
+    usable = {n: F.col(n).isNotNull() for n in ("a", "b")} | {"c": F.col("key").isNotNull()}
+    got = R.choose(df, F.col("k"), F.col("pos"), F.col("trust"), F.col("at"), usable, [("a", "b"), ("a", "c")], {"a": F.col("a")}, carry={"a": F.col("a"), "b": F.col("b")})
+    got = {(r.key, r.field_name): (r.pos, r.value) for r in got.collect()}
+    score = lambda r: (r[2], r[3], -r[1])
+    for k in "ghi":
+        best = None
+        for v in {r[4] for r in rows if r[0] == k and r[4]}:
+            picked = {"a": max((r for r in rows if r[0] == k and r[4] == v), key=score)}
+            for n, at in (("b", 5), ("c", 6)):
+                beside = [r for r in rows if r[0] == k and r[4] == v and r[at]]
+                if beside:
+                    picked[n] = max(beside, key=score)
+            total = (len(picked), *map(sum, zip(*[score(r) for r in picked.values()])))
+            if best is None or total > best[0]:
+                best = (total, picked)
+        assert {n: got[k, n][0] for n in "abc" if (k, n) in got} == {n: r[1] for n, r in best[1].items()}
+        assert got[k, "a"][1] == best[1]["a"][4] and got[k, "b"][1] == best[1]["b"][5] and got[k, "c"][1] is None
+
+
+def test_chains_are_refused(spark):
+    df = spark.createDataFrame([], ROWS)
+    usable = {n: F.col(n).isNotNull() for n in ("a", "b", "key")}
+    with pytest.raises(ValueError, match="stars"):
+        R.choose(df, F.col("k"), F.col("pos"), F.col("trust"), F.col("at"), usable, [("a", "b"), ("b", "key")], {"a": F.col("a"), "b": F.col("b")})
+
+
+def test_what_is_gathered_does_not_grow(spark):
+    df = spark.range(20000).selectExpr("'hot' as key", "if(id % 2 = 0, 'a', 'b') as bundle", "id div 2 as sig", "cast(id % 7 as int) as trust", "id % 11 as at", "-id as neg_pos", "'v' as value")
+    assert R._bounded(df, "a", ["b"]).count() == 2
+
+
 def test_hot_group(spark):
     df = spark.range(20000).selectExpr("'hot' as k", "id as pos", "cast(id % 7 as int) as trust", "id % 11 as at", "cast(id % 5000 as string) as a", "if(id % 3 = 0, 'b', null) as b", "'' as key")
     usable = {"a": F.col("a").isNotNull(), "b": F.col("b").isNotNull()}
