@@ -18,21 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.html import rules
-from millrace.html.clean import clean
+from millrace.html.clean import clean, local_media
 from millrace.html.dom import parse
 from millrace.html.markdown import to_markdown
 from millrace.html.meta import extract, front_matter, is_wiki
 from millrace.html.simple import simplify
 
 
-def convert(source: str, url: str = "", out_format: str = "md", remove_ref: bool = False, more: dict[str, str] | None = None) -> tuple[str, dict[str, str]]:
-    """(text, metadata) of a page (O078). Only the asked form is made."""
+def convert(source: str, url: str = "", out_format: str = "md", remove_ref: bool = False, more: dict[str, str] | None = None, media: dict[str, str] | None = None) -> tuple[str, dict[str, str]]:
+    """(text, metadata) of a page (O078). Only the asked form is made. ``media``: file names of media urls kept beside the page (O125)."""
     root = parse(source)
     meta = extract(root)
     if url:
         meta["url"] = html.unescape(url)
     wiki = is_wiki(meta.get("url", ""))
     content = clean(root, wiki, remove_ref)
+    if media:
+        local_media(content, media)
     if remove_ref:
         meta["remove_ref"] = "true"
     base = meta.get("url", "")

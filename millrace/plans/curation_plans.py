@@ -271,3 +271,52 @@ SQL = {
       n as (select t.pos, count(s.image_id) as n_dropped from t left join ids i on i.pos = t.pos left join sizes s on s.image_id = i.image_id and (s.width < 200 or s.height < 200) group by 1)
       select cast(n_dropped as integer) as n_dropped, count(*) as n_rows from n group by 1""",
 }
+
+# JSON texts as Python writes them: members and items apart by a comma and a space
+_MORE: dict[str, str] = {}
+
+
+def _value(v: str) -> str:
+    return f"case json_type({v}) when 'DOUBLE' then cast(cast({v} as double) as varchar) when 'ARRAY' then '[' || array_to_string(list_transform(cast({v} as json[]), lambda x: cast(x as varchar)), ', ') || ']' else cast({v} as varchar) end"
+
+
+_MEMBER = f"to_json(k) || ': ' || {_value('json_extract(j, chr(36) || chr(46) || to_json(k))')}"
+_CANON = f"""canon as (select id, pos, coalesce('{{' || array_to_string(list_transform(list_sort(list_filter(list_distinct(json_keys(j)), lambda k: k <> 'info_addtional')), lambda k: {_MEMBER}), ', ') || '}}', '{{}}') as variant
+  from (select *, {_OBJ} as j from image_labels where id is not null)),
+variants as (select id, variant, min(pos) as first_pos from canon group by 1, 2)"""
+_MORE["labels_info_variants"] = f"with {_CANON} select * from variants"
+_TAGS = """select id, string_agg(tag, '|' order by p) as tags from (select id, tag, min(pos * 1000 + k) as p from (
+    select id, pos, unnest(tags) as tag, generate_subscripts(tags, 1) as k from image_labels where id is not null) where tag <> '' group by 1, 2) group by id"""
+_MORE["labels_merge"] = f"""with {_CANON},
+nth as (select *, row_number() over (partition by id order by first_pos) - 1 as rank from variants),
+lists as (select id, cast((rank - 1) // 500 as integer) as part, min(first_pos) as at, '[' || string_agg(to_json(variant), ', ' order by rank) || ']' as more from nth where rank > 0 group by 1, 2),
+first as (select id, arg_min(coalesce({_OBJ}, '{{}}'), pos) as j, coalesce(arg_min(struct_pack(d := data), pos).d, '') as data, min(pos) as pos, count(*) as n_rows from image_labels where id is not null group by id),
+head as (select id, pos, data, n_rows, 0 as part, list_filter(json_keys(j), lambda k: k <> 'info_addtional') as keys, j from first),
+tags as ({_TAGS}), counts as (select id, cast(count(*) as integer) as n_variants from variants group by id)
+select coalesce(h.pos, l.at) as pos, coalesce(h.id, l.id) as id, coalesce(h.part, l.part) as part,
+  '{{' || coalesce(array_to_string(list_transform(h.keys, lambda k: {_MEMBER.replace('json_extract(j','json_extract(h.j')}), ', ') || case when len(h.keys) > 0 then ', ' else '' end, '') || '"info_addtional": ' || coalesce(l.more, '[]') || '}}' as info,
+  coalesce(h.data, '') as data, case when h.id is null then '' else coalesce(t.tags, '') end as tags, h.n_rows, case when h.id is not null then c.n_variants end as n_variants
+from head h full join lists l on l.id = h.id and l.part = h.part left join tags t on t.id = h.id left join counts c on c.id = h.id"""
+_PARTS = rf"""cut as (select doc_id as pos, source, string_split(regexp_replace(regexp_replace(coalesce(case when starts_with(text, '---') then {_FRONT} else text end, ''), '!\[[^\]]*\]\((?:\./)?images/+([^()?#]+)[^()]*\)', chr(1) || '\1' || chr(1), 'g'), '!\[[^\]]*\]\([^()]*\)', '', 'g'), chr(1)) as xs,
+  len(regexp_extract_all({_FRONT}, '!\[[^\]]*\]\(([^()]*)\)')) as n_images from documents),
+items as (select pos, source, n_images, unnest(xs) as x, generate_subscripts(xs, 1) as i, len(xs) as n from cut),
+parts as (select pos, source, n_images, cast(row_number() over (partition by pos order by i) - 1 as integer) as nth, case when i % 2 = 0 then 'image_url' else 'text' end as type, x from items where x <> '' or n = 1)"""
+_MORE["md_parts"] = f"with {_PARTS} select pos, nth, type, case when type = 'text' then sha256(x) else sha256('') end as text_hash, case when type = 'image_url' then x end as image_id from parts"
+_BLOCK = """case when type = 'text' then '{"type": "text", "text": ' || to_json(x) || '}' else '{"type": "image_url", "image_url": {"url": ' || to_json('images/' || x) || '}}' end"""
+_MORE["chat_messages"] = f"""with {_PARTS}, m as (select pos, any_value(source) as source, any_value(n_images) as n_images, string_agg({_BLOCK}, ', ' order by nth) as content, string_agg(case when type = 'image_url' then to_json(x) end, ', ' order by nth) as ids, count(*) filter (where type = 'image_url') as n_local from parts group by pos)
+select pos, '{{"format": "openai"' || coalesce(', "source": ' || to_json(source), '') || coalesce(', "image_ids": [' || ids || ']', '') || case when n_images > n_local then ', "dropped_nonlocal_images": ' || (n_images - n_local) else '' end || '}}' as info,
+  '[{{"role": "user", "content": [' || content || ']}}]' as data from m"""
+_MORE["small_image_filter"] = f"""with {_IMG_SIZE}, t as (select pos, regexp_replace(coalesce(json_extract_string(j, '$.title'), ''), '[\\[\\]!]', '', 'g') as title, regexp_extract_all(lower(coalesce(cast(json_extract(j, '$.image_ids') as varchar), '')), '[0-9a-f]{{64}}') as all_ids from (select pos, {_OBJ} as j from wiki_text)),
+ids as (select pos, title, image_id, min(k) as k from (select pos, title, unnest(all_ids) as image_id, generate_subscripts(all_ids, 1) as k from t) group by all),
+shown as (select i.*, row_number() over (partition by i.pos order by k) as n, s.image_id is not null as small from ids i left join sizes s on s.image_id = i.image_id and (s.width < 200 or s.height < 200)),
+b as (select pos, string_agg('{{"type": "text", "text": ' || to_json(case when n = 1 then title else '' end || chr(10)) || '}}' || case when small then '' else ', {{"type": "image_url", "image_url": {{"url": "images/' || image_id || '"}}}}' end, ', ' order by n) as content, cast(count(*) filter (where small) as integer) as n_dropped from shown group by pos)
+select t.pos, '[{{"role": "user", "content": [' || coalesce(b.content, '{{"type": "text", "text": ' || to_json(t.title) || '}}') || ']}}]' as data, coalesce(b.n_dropped, 0) as n_dropped from t left join b using (pos)"""
+_MORE["localize_text"] = _LOCAL + rf""", tags as (select distinct pos, unnest(regexp_extract_all(data, '(?i)<img\b[^>]*>')) as tag from rows_),
+swaps as (select t.pos, tag, regexp_replace(regexp_replace(tag, '(?i)\s*\bsrcset=["''][^"'']*["'']', ''), '(?i)(\bsrc=["''])[^"'']+(["''])', '\1images/' || m.image_id || '\2') as new
+  from (select *, regexp_extract(tag, '(?i)\bsrc=["'']([^"'']+)["'']', 1) as raw_url from tags) t join (select distinct pos, raw_url, url from shown) s on s.pos = t.pos and s.raw_url = t.raw_url join url_map m on m.pos = s.pos and m.url = s.url),
+sets as (select pos, list(struct_pack(a := tag, b := new) order by tag) as sw from swaps group by pos),
+used as (select s.pos, count(*) as n from shown s join url_map m on m.pos = s.pos and m.url = s.url group by 1),
+text_ids as (select pos, string_agg(image_id, ',' order by id_pos) as image_ids from ids group by pos),
+new as (select r.pos, r.data, case when sw is null then r.data else list_reduce(list_prepend(struct_pack(a := r.data, b := ''), sw), lambda x, y: struct_pack(a := replace(x.a, y.a, y.b), b := '')).a end as new from rows_ r left join sets using (pos))
+select n.pos, sha256(new) as data_hash, coalesce(new <> data, false) as rewritten, coalesce(u.n, 0) as n_used, coalesce(i.image_ids, '') as image_ids from new n left join used u using (pos) left join text_ids i using (pos)"""
+SQL |= _MORE

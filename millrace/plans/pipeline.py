@@ -141,12 +141,13 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--min-width", type=int, default=0)
     p.add_argument("--min-height", type=int, default=0)
     p.add_argument("--tables")
+    p.add_argument("--host", help="pattern of the host whose images pages of a dump are pointed to")
     a = p.parse_args(argv)
     if a.stage != "optimize" and not a.target:
         p.error("this stage needs a target")
     spark = SparkSession.builder.appName(f"millrace {a.stage}").getOrCreate()
     if a.stage == "ingest":
-        dataset.write(dataset.from_dump(spark, a.source), a.target, a.overwrite)
+        dataset.write(dataset.from_dump(spark, a.source, a.host), a.target, a.overwrite)
     elif a.stage == "localize":
         run_localize(spark, a.source, a.target, a.overwrite)
     elif a.stage == "optimize":

@@ -7,12 +7,13 @@ import json
 import os
 import subprocess
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import jsonx, pages, urls
 from millrace.sources.jsonl_tar import read_dump
 from millrace.sources.tables import file_system
 
@@ -29,11 +30,26 @@ class Dataset:
         return getattr(self, name)
 
 
-def from_dump(spark: SparkSession, path: str) -> Dataset:
-    """The three tables of a page dump."""
+def from_dump(spark: SparkSession, path: str, host: str | None = None) -> Dataset:
+    """The three tables of a page dump; with ``host``, a pattern, sources on it lead to the page's own images (O036, O037)."""
     rows = read_dump(spark, path)
     of = lambda kind, *cols: rows.where(F.col("kind") == kind).select("pos", *cols)
-    return Dataset(of("text", "id", "info", "data", "tags"), of("image", "id", "image_bytes", "sha256"), of("label", "id", "info", "data", "tags"))
+    ds = Dataset(of("text", "id", "info", "data", "tags"), of("image", "id", "image_bytes", "sha256"), of("label", "id", "info", "data", "tags"))
+    return replace(ds, text=host_local(ds, host)) if host else ds
+
+
+def host_local(ds: Dataset, host: str) -> DataFrame:
+    """``ds.text`` with the sources on ``host`` pointed to images whose label names page and url; the first label wins.
+
+    Each page meets the map of its own images only.
+    """
+    f = jsonx.fields(F.col("info"), "image_url", "text_ids")
+    named = ds.image_labels.select("pos", "id", urls.normalize(f["image_url"]).alias("url"), F.explode(F.from_json(f["text_ids"], "array<string>")).alias("text_id"))
+    first = named.where("url <> ''").groupBy("text_id", "url").agg(F.min_by("id", "pos").alias("image_id"))
+    maps = first.groupBy(F.col("text_id").alias("_page")).agg(F.map_from_entries(F.collect_list(F.struct("url", "image_id"))).alias("_map"))
+    rows = ds.text.join(maps, F.col("id") == F.col("_page"), "left")
+    new = F.when(F.col("_map").isNull(), F.col("data")).otherwise(pages.rewrite_images(F.col("data"), pages.host_refs(F.col("data"), F.col("_map"), host)))
+    return rows.withColumn("data", new).select(*ds.text.columns)
 
 
 def wanted_tables(names: str | list[str] | None) -> list[str]:

@@ -7,15 +7,17 @@ pass; ``pos`` orders them as the dump does (part number * 2^40 + running number)
 
 from __future__ import annotations
 
-import glob
 import hashlib
+import io
 import json
 import os
 import re
 import tarfile
 from collections.abc import Iterator
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "kind string, pos long, id string, info string, data string, tags array<string>, image_bytes binary, sha256 string"
@@ -27,12 +29,19 @@ _CATEGORY = re.compile(r"<a[^>]*href=[\"'](?:https?://[^/]*)*/wiki/Category:[^\"
 SKIPPED = ("Category", "Articles", "Pages", "Webarchive", "CS1", "All ", "Use ", "Commons category", "Short description", "Wikipedia")
 
 
+def located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path in it: local, or any that pyarrow knows by its scheme."""
+    return pyarrow.fs.FileSystem.from_uri(path) if "://" in path else (pyarrow.fs.LocalFileSystem(), path.removeprefix("file:"))
+
+
 def pairs(path: str) -> list[tuple[str, str]]:
     """Parts by name that have both files; a folder without any is an error (O001)."""
-    found = [(j, j[:-6] + ".tar") for j in sorted(glob.glob(os.path.join(path, "*.jsonl"))) if os.path.isfile(j[:-6] + ".tar")]
+    fs, folder = located(path)
+    files = {f.base_name for f in fs.get_file_info(pyarrow.fs.FileSelector(folder, allow_not_found=True)) if f.is_file}
+    found = [n[:-6] for n in sorted(files) if n.endswith(".jsonl") and n[:-6] + ".tar" in files]
     if not found:
         raise FileNotFoundError(f"no pairs of .jsonl and .tar under {path}")
-    return found
+    return [(f"{path.rstrip('/')}/{n}.jsonl", f"{path.rstrip('/')}/{n}.tar") for n in found]
 
 
 def said(o: dict, skip: tuple[str, ...] = ()) -> dict:
@@ -70,7 +79,8 @@ class Members:
 
     def __init__(self, path: str):
         self.part = os.path.basename(path)[:-4]
-        self.file = open(path, "rb")  # noqa: SIM115 - closed by close()
+        fs, at = located(path)
+        self.file = fs.open_input_file(at)
         self.at: dict[str, tuple[int, int]] = {}
         with tarfile.open(fileobj=self.file) as tar:
             for m in tar:
@@ -108,8 +118,9 @@ class Reader(DataSourceReader):
         members = Members(part.tar)
         n_image = 0
         try:
-            with open(part.jsonl, encoding="utf-8") as lines:
-                for no, line in enumerate(lines):
+            fs, at = located(part.jsonl)
+            with fs.open_input_stream(at) as raw_lines:
+                for no, line in enumerate(io.TextIOWrapper(io.BufferedReader(raw_lines), encoding="utf-8")):
                     if not line.strip():
                         continue
                     entry = json.loads(line)
@@ -152,3 +163,32 @@ def read_dump(spark: SparkSession, path: str) -> DataFrame:
     """All rows of a dump; repeats are kept, blank lines and images that can't be found are not rows."""
     spark.dataSource.register(JsonlTar)
     return spark.read.format("jsonl_tar").load(path)
+
+
+def write_dump(entries: DataFrame, path: str) -> None:
+    """A dump from (html, image_file, image_bytes) rows, a part per partition: pages, and pages of one image each.
+
+    ``image_file`` and ``image_bytes`` may be null. Every task writes its own part, one row at a time.
+    """
+
+    def run(batches):
+        import uuid
+
+        fs, folder = located(path)
+        fs.create_dir(folder, recursive=True)
+        name = f"{folder}/part-{uuid.uuid4().hex}"
+        n = 0
+        with fs.open_output_stream(f"{name}.jsonl") as lines, fs.open_output_stream(f"{name}.tar") as out, tarfile.open(fileobj=out, mode="w|") as tar:
+            for b in batches:
+                for page, file, raw in zip(*(b.column(i).to_pylist() for i in range(3))):
+                    entry = {"html": page or ""}
+                    if file is not None and raw is not None:
+                        entry["images"] = [{"image_file": file}]
+                        member = tarfile.TarInfo(f"images/{file}")
+                        member.size = len(raw)
+                        tar.addfile(member, io.BytesIO(raw))
+                    lines.write((json.dumps(entry, ensure_ascii=False) + "\n").encode())
+                    n += 1
+        yield pyarrow.RecordBatch.from_arrays([pyarrow.array([n])], names=["n"])
+
+    entries.select("html", "image_file", F.col("image_bytes").cast("binary")).mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()

@@ -57,6 +57,30 @@ def test_media():
     assert md("<video></video><p>x</p>") == "x"
 
 
+def test_local_media():
+    page = '<p><img src="https://h/a.jpg"><img src="https://h/b.jpg" srcset="https://h/a.jpg 1x"></p><video poster="https://h/a.jpg"><source src="v.mp4"></video>'
+    assert kernel.convert(page, media={"https://h/a.jpg": "a1.jpg"})[0] == "![](media/a1.jpg)![](media/a1.jpg)\n\n[![video](media/a1.jpg)](v.mp4)"
+
+
+def test_image_names():
+    names = {"//u/thumb/My_pic.jpg/250px-My_pic.jpg": "My pic", "a/Caf%C3%A9.png?x#y": "Café", "": "", "x/noending": "noending", "120px-a.svg": "120px-a", "a/b.tar.gz/": "b.tar"}
+    assert {k: markdown.name_of_image(k) for k in names} == names
+
+
+def test_boxes_in_boxes():
+    inner = "<table class=infobox-subbox><tr><th>C</th><td>3</td></tr></table>"
+    box = f"<table class=infobox><tbody><tr><th>A</th><td>1</td></tr><tr><td>kept<table class=infobox-subbox><tr><th>B</th><td>2{inner}</td></tr></table></td></tr><tr><th>D</th><td>4</td></tr></tbody></table>"
+    rows = [x for x in wiki(box).split("\n") if x.startswith("|")]
+    assert rows == ["| A | 1 |", "| --- | --- |", "| kept |  |", "| B | 2 |", "| C | 3 |", "| D | 4 |"]
+
+
+def test_sections_end_where_they_should():
+    flat = wiki("<h2>A</h2><p>a</p><div><h3>Notes</h3><p>n</p><h3>C</h3><p>c</p></div><p>d</p><div class=x><h2>References</h2></div><ul><li>r</li></ul>", remove_ref=True)
+    assert "Notes" not in flat and "### C" in flat and "\nd" in flat and "- r" not in flat and "References" not in flat
+    empty = wiki("<h2>A</h2><h3>B</h3><h2>C</h2><p>c</p><h3>D</h3>")
+    assert "A" not in empty and "B" not in empty and "## C" in empty and "### D" in empty
+
+
 def test_nested_tables_move_behind():
     out = md("<table><tr><td>a<table><tr><td>in</td></tr></table></td><td>b</td></tr></table>")
     assert out.index("| a | b |") < out.index("| in |")

@@ -7,7 +7,7 @@ import tarfile
 import pytest
 
 from millrace.plans import pipeline
-from millrace.sources import dataset
+from millrace.sources import dataset, jsonl_tar
 from millrace.sources.jsonl_tar import image_info, pairs, text_info
 from millrace.streaming import live
 
@@ -88,6 +88,24 @@ def test_dump_to_dataset(spark, folder, tmp_path):
     assert "user:" in info and "write_tables_seconds:" in info and "rows: 3" in info
 
 
+def test_host_images_at_ingest(spark, tmp_path):
+    page = '<p><img src="//upload.h.example/thumb/a.jpg/9px-a.jpg"><img src="//upload.h.example/none.jpg"><img src="//other.example/a.jpg"></p>'
+    text = spark.createDataFrame([(0, "t0", "{}", page, []), (1, "t1", "{}", None, []), (2, "t2", "{}", page, [])], "pos long, id string, info string, data string, tags array<string>")
+    info = json.dumps({"text_ids": ["t0"], "image_url": "https://upload.h.example/a.jpg"})
+    labels = spark.createDataFrame([(0, "i0", info, "", []), (1, "i1", info, "", []), (2, "i2", "broken", "", [])], text.schema)
+    got = {r.pos: r.data for r in dataset.host_local(dataset.Dataset(text, labels, labels), r"upload\.h\.example").collect()}
+    assert got == {0: page.replace("//upload.h.example/thumb/a.jpg/9px-a.jpg", "images/i0"), 1: None, 2: page}
+
+
+def test_written_dump_comes_back(spark, tmp_path):
+    rows = [("<title>é</title>", None, None), (None, "a/b.jpg", b"xyz"), ("", None, None), ("two\nlines", "c.png", b"")]
+    df = spark.createDataFrame(rows, "html string, image_file string, image_bytes binary").repartition(2)
+    jsonl_tar.write_dump(df, f"file://{tmp_path}/dump")
+    ds = dataset.from_dump(spark, f"file://{tmp_path}/dump")
+    assert sorted(r.data for r in ds.text.collect()) == ["", "", "<title>é</title>", "two\nlines"]
+    assert sorted(bytes(r.image_bytes) for r in ds.images.collect()) == [b"", b"xyz"] and ds.image_labels.count() == 2
+
+
 def test_order_check(spark):
     a = spark.createDataFrame([(0, "x"), (1, "y")], "pos long, id string")
     dataset.verify_order(a, a)
