@@ -101,28 +101,28 @@ def _search(deps: list[tuple[str, str]], out: pa.Schema):
 _RANKS = ("trust", "at", "neg_pos")
 
 
-def _bounded(cands: DataFrame, det: str, below: list[str]) -> DataFrame:
+def _bounded(per: DataFrame, det: str, below: list[str], least: int = 1) -> DataFrame:
     """Cut off determining values that can't be in an optimal combination, without gathering them.
 
+    ``per``: (key, sig, n_rows, and for each bundle the best row under the determining value ``sig``).
     The bound of a value is its rank and those of the best dependents seen beside it, which is tight,
     so only ties stay. A dependent bundle never seen beside a determining value is free: its best row
-    is kept and adds the same to every combination.
+    is kept and adds the same to every combination. Groups of fewer than ``least`` rows are left out.
     """
-    total = lambda *s: F.struct(*[sum(x[f] for x in s).alias(f) for f in ("n", *_RANKS)])
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"), F.lit(None).cast("string").alias("value"))
-    s = F.struct(F.lit(1).alias("n"), *_RANKS, "value")
-    per = cands.groupBy("key", "sig").agg(*[F.max(F.when(F.col("bundle") == n, s)).alias(n) for n in (det, *below)])
-    bound = F.when(F.col(det).isNotNull(), total(F.col(det), *[F.coalesce(F.col(b), zero) for b in below]))
-    per = per.withColumn("bound", bound)
+    zero = F.struct(F.lit(0).alias("trust"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("neg_pos"))
+    filled = sum((F.col(b).isNotNull().cast("int") for b in below), F.lit(1))
+    plain = lambda c: F.struct(*[c[f].alias(f) for f in _RANKS])
+    parts = [plain(F.col(det)), *[F.when(F.col(b).isNotNull(), plain(F.col(b))).otherwise(zero) for b in below]]
+    bound = F.struct(filled.alias("n"), *[sum((x[f] for x in parts[1:]), parts[0][f]).alias(f) for f in _RANKS])
+    per = per.withColumn("bound", F.when(F.col(det).isNotNull(), bound))
     top = per.groupBy(F.col("key").alias("k")).agg(
-        F.max("bound").alias("known"), *[F.max(b).alias(f"top_{b}") for b in below], *[F.max(F.when(F.col(det).isNotNull(), F.col(b))).alias(f"beside_{b}") for b in below]
+        F.max("bound").alias("known"), F.sum("n_rows").alias("n"), *[F.max(b).alias(f"top_{b}") for b in below], *[F.max(F.when(F.col(det).isNotNull(), F.col(b))).isNull().alias(f"free_{b}") for b in below]
     )
-    free = {b: F.col(f"beside_{b}").isNull() & (F.col(b) == F.col(f"top_{b}")) for b in below}
-    open_ = F.col("bound") >= F.col("known")
-    value = {det: F.when(open_, F.col(det))} | {b: F.when(free[b] | open_, F.col(b)) for b in below}
+    best = F.col("bound") == F.col("known")
+    value = {det: F.when(best, F.col(det))} | {b: F.when(best | F.col(f"free_{b}") & (F.col(b) == F.col(f"top_{b}")), F.col(b)) for b in below}
     offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), v.alias("s")) for n, v in value.items()]))
-    kept = per.join(top, F.col("key") == F.col("k")).select("key", "sig", offers.alias("o")).where("o.s is not null")
-    return kept.select("key", "o.bundle", "sig", "o.s.trust", "o.s.at", "o.s.neg_pos", "o.s.value")
+    kept = per.join(top.where(F.col("n") >= least), F.col("key") == F.col("k")).select("key", "sig", offers.alias("o")).where("o.s is not null")
+    return kept.select("key", "o.bundle", "sig", "o.s.*")
 
 
 def choose(
@@ -146,31 +146,24 @@ def choose(
     rank = F.struct(t.cast("int").alias("trust"), a.cast("long").alias("at"), (-pos.cast("long")).alias("neg_pos"))
     linked = [n for n in usable if n in det or n in det.values()]
     free = [n for n in usable if n not in linked]
-    sigs = {n: F.when(usable[det.get(n, n)], F.xxhash64(values[det.get(n, n)])) for n in linked}
     told = {n: (carry or {}).get(n, F.lit(None)).cast("string") for n in usable}
+    stars = {d: [b for b, x in det.items() if x == d] for d in sorted(set(det.values()))}
     rows = df.select(
         key.alias("key"), rank.alias("rank"), *[F.coalesce(u, F.lit(False)).alias(f"u_{n}") for n, u in usable.items()],
-        *[s.alias(f"s_{n}") for n, s in sigs.items()], *[v.alias(f"v_{n}") for n, v in told.items()],
+        *[F.when(usable[d], F.xxhash64(values[d])).alias(f"s_{d}") for d in stars], *[v.alias(f"v_{n}") for n, v in told.items()],
     ).where("key is not null")
     # Sums over bundles are best where each component of linked bundles is, so components are searched apart
-    ranked = lambda n: F.struct("rank.*", F.col(f"v_{n}").alias("value"))  # noqa: E731 - the value is behind the position, so it never decides
-    best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[F.max(F.when(F.col(f"u_{n}"), ranked(n))).alias(n) for n in free]).where(F.col("n") >= least)
+    best_of = lambda n: F.max(F.when(F.col(f"u_{n}"), F.struct("rank.*", F.col(f"v_{n}").alias("value")))).alias(n)  # noqa: E731 - the value is behind the position, so it never decides
     won = None
     if free:
+        best = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[best_of(n) for n in free]).where(F.col("n") >= least)
         offers = F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), F.col(n).alias("s")) for n in free]))
         won = best.select("key", offers.alias("o")).where("o.s is not null").select("key", "o.field_name", (-F.col("o.s.neg_pos")).alias("pos"), "o.s.value")
-    if linked:
-        offers = F.explode(F.array(*[F.struct(F.lit(n).alias("bundle"), F.col(f"s_{n}").alias("sig"), F.col(f"u_{n}").alias("u"), F.col(f"v_{n}").alias("value")) for n in linked]))
-        long = rows.select("key", "rank", offers.alias("o")).where("o.u").groupBy("key", F.col("o.bundle").alias("bundle"), F.col("o.sig").alias("sig"))
-        long = long.agg(F.max(F.struct("rank.*", "o.value")).alias("rank"))
-        if least > 1:
-            long = long.join(best.select("key"), "key", "left_semi")
-        cands = materialize(long.select("key", "bundle", "sig", "rank.*"), "candidates")
+    for d, below in stars.items():
+        per = rows.groupBy("key", F.col(f"s_{d}").alias("sig")).agg(F.count(F.lit(1)).alias("n_rows"), *[best_of(n) for n in (d, *below)])
+        few = _bounded(materialize(per, "candidates"), d, below, least)
+        groups = few.groupBy("key").agg(F.collect_list(F.struct("bundle", "sig", *_RANKS, "value")).alias("c"))
         out = pa.schema([("key", pa.string()), ("field_name", pa.string()), ("pos", pa.int64()), ("value", pa.string())])
-        for d in sorted(set(det.values())):
-            below = [b for b, x in det.items() if x == d]
-            few = _bounded(cands.where(F.col("bundle").isin(d, *below)), d, below)
-            groups = few.groupBy("key").agg(F.collect_list(F.struct("bundle", "sig", *_RANKS, "value")).alias("c"))
-            more = groups.mapInArrow(_search([(d, b) for b in below], out), "key string, field_name string, pos long, value string")
-            won = more if won is None else won.unionByName(more)
+        more = groups.mapInArrow(_search([(d, b) for b in below], out), "key string, field_name string, pos long, value string")
+        won = more if won is None else won.unionByName(more)
     return won

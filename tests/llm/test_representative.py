@@ -97,8 +97,9 @@ def test_chains_are_refused(spark):
 
 
 def test_what_is_gathered_does_not_grow(spark):
-    df = spark.range(20000).selectExpr("'hot' as key", "if(id % 2 = 0, 'a', 'b') as bundle", "id div 2 as sig", "cast(id % 7 as int) as trust", "id % 11 as at", "-id as neg_pos", "'v' as value")
-    assert R._bounded(df, "a", ["b"]).count() == 2
+    best = "named_struct('trust', cast(id % 7 as int), 'at', id % 11, 'neg_pos', -id, 'value', 'v')"
+    df = spark.range(20000).selectExpr("'hot' as key", "id as sig", "1L as n_rows", f"{best} as a", f"if(id % 2 = 0, {best}, null) as b")
+    assert R._bounded(df, "a", ["b"]).count() == 2 and R._bounded(df, "a", ["b"], least=20001).count() == 0
 
 
 def test_hot_group(spark):
