@@ -16,7 +16,7 @@ every body through the wrapper of its host:
 
 Nodes keep *evidence*, summed over all bodies of the host: how often they were met, at which levels,
 and how often with each inline token. Reading a body matches its segments against the group, and the
-matched node alone gives role and inline tokens; what the wrapper doesn't know is running text.
+matched nodes alone give role and inline tokens; what the wrapper doesn't know is running text.
 
 Evidence settles what a surface form leaves open, which is ``#``: an item of a numbered wiki list or
 a Markdown heading. A line by itself is a heading and a run of lines a list, unless the host uses the
@@ -295,7 +295,7 @@ MUCH = 4
 
 def role(symbol: str) -> str:
     """What a node means by its form alone."""
-    base = symbol.rstrip("+").removesuffix("_deep")
+    base = _base(symbol)
     if base == "hash":
         return "list_item" if symbol.endswith("+") else "heading"
     return "heading" if base in _HEADING else "list_item" if base in _ITEM else "code_block" if base in _CODE else "formula" if base in _FORMULA else "text"
@@ -323,14 +323,28 @@ def meanings(wrapper: list) -> dict[str, str]:
     return means
 
 
+def _base(symbol: str) -> str:
+    return symbol.rstrip("+").removesuffix("_deep")
+
+
 def read(wrapper: list, data: str) -> Iterator[tuple[tuple, str, list[str]]]:
-    """Match a body with its wrapper: (token, role of its node, inline tokens of the slot)."""
-    by, means = dict(wrapper), meanings(wrapper)
+    """Match a body with its wrapper: (token, role of its node, inline tokens of the slot).
+
+    A token is read by its node; one that repeats, or doesn't, where the wrapper knows it only the
+    other way, by that node, as its repetition is no new form. Slots of nodes with one meaning hold
+    the same kind of text, so what one of them may have, all may. Everything else is running text.
+    """
+    means = meanings(wrapper)
+    bases = {_base(sym) for sym in means}
+    slots: dict[str, set[str]] = {}
+    for sym, slot in wrapper:
+        slots.setdefault(means[sym], set()).update(slot)
     for seg in segments(lex(data)):
         for sym, items in seg:
-            slot = by.get(sym, {})
+            mean = means.get(sym) or (role(sym) if _base(sym) in bases else "text")
+            slot = slots.get(mean, ())
             for t in items:
-                yield t, means.get(sym, "text"), [x for x in t[5] if x in slot]
+                yield t, mean, [x for x in t[5] if x in slot]
 
 
 def _reads(wrapper: list, seq: list) -> bool:

@@ -1,4 +1,5 @@
 import json
+import random
 import time
 
 from pyspark.sql import functions as F
@@ -85,6 +86,32 @@ def test_another_wrapper_gives_another_reading():
     assert list(M.cases([], texts[0])) == []
 
 
+def test_the_wrapper_decides():
+    bodies = ["# Head\ntext *a* and `b`\n- one\n- two\n```\nx\n```", "$$\nx\n$$\ntext [a](b)", "# Head\n- one **b**\ntext"]
+    full = []
+    for b in bodies:
+        full = M.infer(full, b)
+    for b in bodies:
+        assert list(M.cases(full, b)) and not list(M.cases([], b)) and M.clean([], b) != M.clean(full, b)
+    wiki = M.infer([], "== Head ==\n* [[a]]\ntext")
+    assert list(M.cases(wiki, bodies[0])) == []  # a host of wiki markup knows no fences, dashes or Markdown headings
+
+
+def test_held_out_bodies_of_a_host():
+    rng = random.Random(4)
+    pieces = ["# Head {}", "text *a{}* here", "- one {}", "- `two` {}", "```\ncode {}\n```", "$$\nx_{}\n$$", "text [l{}](h)", "1. first {}", "plain {}", "> &amp; {}"]
+    body = lambda: "\n\n".join(rng.choice(pieces).format(rng.randint(1, 99)) for _ in range(rng.randint(3, 12)))
+    seen, held = [body() for _ in range(40)], [body() for _ in range(200)]
+    half = whole = []
+    for b in seen:
+        half = M.infer(half, b)
+    for b in seen + held:
+        whole = M.infer(whole, b)
+    want = [x for b in held for x in M.cases(whole, b)]
+    got = [x for b in held for x in M.cases(half, b)]
+    assert len(got) >= 0.99 * len(want) > 500
+
+
 def test_evidence_is_summed_over_partitions(spark):
     text = "p\n\n# only\n\np"
     rows = [(i, h, d) for h, bodies in (("w", WIKI), ("m", MARKDOWN)) for i, d in enumerate([*bodies, text])]
