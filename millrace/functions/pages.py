@@ -6,11 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
-
-IMG = r"(?i)<img\b[^>]*>"
-SRC = r"(?i)\bsrc=[\"']([^\"']+)[\"']"
-#: Maintenance categories that are no tags.
-SKIPPED_CATEGORIES = ("Category", "Articles", "Pages", "Webarchive", "CS1", "All ", "Use ", "Commons category", "Short description", "Wikipedia")
+from millrace.functions.fixed import CANONICAL, CATEGORY, CJK, FRONT_MATTER, IMG, INVISIBLE, SITE_IN_TITLE, SKIPPED_CATEGORIES, SRC, STUBS, TITLE, WIKI_HOSTS
 
 
 def img_sources(html: Column) -> Column:
@@ -20,17 +16,17 @@ def img_sources(html: Column) -> Column:
 
 
 def title(html: Column) -> Column:
-    raw = F.regexp_replace(F.regexp_extract(html, r"(?i)<title>([^<]+)</title>", 1), r"(?U)^\s+|\s+$", "")
-    return F.nullif(F.regexp_replace(raw, r"\s*[-–—]\s*Wikipedia\s*$", ""), F.lit(""))
+    raw = F.regexp_replace(F.regexp_extract(html, TITLE, 1), r"(?U)^\s+|\s+$", "")
+    return F.nullif(F.regexp_replace(raw, SITE_IN_TITLE, ""), F.lit(""))
 
 
 def canonical_url(html: Column) -> Column:
-    return F.nullif(F.regexp_extract(html, r"(?i)<link[^>]*rel=[\"']canonical[\"'][^>]*href=[\"']([^\"']+)[\"']", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(html, CANONICAL, 1), F.lit(""))
 
 
 def categories(html: Column) -> Column:
     """Category links as tags, maintenance categories left out, in order, repeats kept."""
-    found = F.regexp_extract_all(html, F.lit(r"(?i)<a[^>]*href=[\"'](?:https?://[^/]*)*/wiki/Category:[^\"']+[\"'][^>]*>([^<]+)</a>"), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(CATEGORY), F.lit(1))
     names = F.transform(found, lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", ""))
 
     def wanted(c: Column) -> Column:
@@ -68,13 +64,6 @@ def host_refs(html: Column, ids_by_url: Column, host: str = r"upload\.wikimedia\
     return F.map_from_arrays(known, F.transform(known, lambda s: urls.image_ref(F.try_element_at(ids_by_url, urls.normalize(s)))))
 
 
-#: Hosts of wikis, endings of stub categories, characters that show nothing, CJK ranges.
-WIKI_HOSTS = r"(?i)(?:wikipedia\.org|wikimedia\.org|mediawiki\.org|wiktionary\.org|wikiquote\.org|wikisource\.org|wikibooks\.org|fandom\.com|wiki\..*\.org)"
-STUBS = r"(?i)stubs?$|小作品$|スタブ$"
-INVISIBLE = "[\ufeff\u200b-\u200f\u202a-\u202e\u2060\u2061]"
-CJK = "[\u4e00-\u9fff\u3400-\u4dbf\u3000-\u303f\u3040-\u309f\u30a0-\u30ff\uac00-\ud7af]"
-
-
 def is_wiki_url(url: Column) -> Column:
     return F.coalesce(url.rlike(WIKI_HOSTS), F.lit(False))
 
@@ -96,7 +85,7 @@ def without_invisible(text: Column) -> Column:
 
 def without_front_matter(markdown: Column) -> Column:
     """A leading block between ``---`` lines removed; later ones are text."""
-    return F.regexp_replace(markdown, r"\A---[ \t]*\r?\n[\s\S]*?\r?\n---[ \t]*(?:\r?\n+)?", "")
+    return F.regexp_replace(markdown, FRONT_MATTER, "")
 
 
 def normal_whitespace(markdown: Column) -> Column:

@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Hosts whose links count as social, image file endings, thumbnails of wiki media.
-SOCIAL_DOMAINS = ("facebook.com", "twitter.com", "x.com", "linkedin.com", "instagram.com", "youtube.com", "t.me", "pinterest.com", "reddit.com", "threads.net", "mastodon.social", "bsky.app")
-IMAGE_EXTENSIONS = ("png", "jpg", "jpeg", "gif", "webp", "svg")
-THUMB = r"/thumb/(.*)/\d+px-[^/]+$"
-
+from millrace.functions.fixed import IMAGE_ENDINGS, SOCIAL_HOSTS, THUMB
 
 def unquote(text: Column) -> Column:
     """Percent-decoding where a plus stays a plus and a stray percent sign stays as it is."""
@@ -43,7 +39,7 @@ def is_relative(url: Column) -> Column:
 def is_social(href: Column) -> Column:
     """One of the social hosts stands anywhere in the link."""
     hit = F.lit(False)
-    for d in SOCIAL_DOMAINS:
+    for d in SOCIAL_HOSTS:
         hit = hit | F.contains(href, F.lit(d))
     return F.coalesce(hit, F.lit(False))
 
@@ -53,7 +49,7 @@ def is_print(href: Column, title: Column) -> Column:
 
 
 def is_image_file(href: Column) -> Column:
-    return F.coalesce(F.lower(F.split_part(href, F.lit("?"), F.lit(1))).rlike(rf"\.(?:{'|'.join(IMAGE_EXTENSIONS)})$"), F.lit(False))
+    return F.coalesce(F.lower(F.split_part(href, F.lit("?"), F.lit(1))).rlike(rf"\.(?:{'|'.join(IMAGE_ENDINGS)})$"), F.lit(False))
 
 
 def best_of_srcset(srcset: Column) -> Column:

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 import re
 
+from millrace.functions import fixed
+from millrace.functions.fixed import SOCIAL_HOSTS  # noqa: F401 - part of the rules
+
 _EDGE = r"(?<![a-z0-9\-])(?:%s)(?![a-z0-9\-])"
 #: Words that name boilerplate.
 NOISE_WORDS = (
@@ -74,14 +77,12 @@ SIMPLE_TAGS = frozenset(
 SIMPLE_ATTRIBUTES = frozenset("href src alt srcset colspan rowspan poster controls type".split())
 SIMPLE_VOID = frozenset("img br hr input meta link source".split())
 #: Endings of image files.
-IMAGE_ENDINGS = (".png", ".jpg", ".jpeg", ".gif", ".webp", ".svg")
-#: Hosts and classes.
-SOCIAL_HOSTS = ("facebook.com", "twitter.com", "x.com", "linkedin.com", "instagram.com", "youtube.com", "t.me", "pinterest.com", "reddit.com", "threads.net", "mastodon.social", "bsky.app")
-WIKI_HOST = re.compile(r"(?:wikipedia\.org|wikimedia\.org|mediawiki\.org|wiktionary\.org|wikiquote\.org|wikisource\.org|wikibooks\.org|fandom\.com|wiki\..*\.org)", re.I)
+IMAGE_ENDINGS = tuple(f".{x}" for x in fixed.IMAGE_ENDINGS)
+WIKI_HOST = re.compile(fixed.WIKI_HOSTS)
 TITLE_CLASSES = ("entry-title", "post-title", "topic-title", "article-title", "page-title")
-STUB_CATEGORY = re.compile(r"stubs?$|小作品$|スタブ$", re.I)
-INVISIBLE = re.compile("[﻿​-‏‪-‮⁠⁡]")
-CJK = re.compile("[一-鿿㐀-䶿　-〿぀-ゟ゠-ヿ가-힯]")
+STUB_CATEGORY = re.compile(fixed.STUBS)
+INVISIBLE = re.compile(fixed.INVISIBLE)
+CJK = re.compile(fixed.CJK)
 #: Fixed form: a thumbnail file begins with its width.
 THUMBNAIL = re.compile(r"\d+px-")
 ARROWS = {"increase": "↑", "decrease": "↓", "steady": "→"}

@@ -10,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_FRONT = re.compile(r"\A---[ \t]*\r?\n[\s\S]*?\r?\n---[ \t]*(?:\r?\n+)?")
+from millrace.functions import fixed
+
+_FRONT = re.compile(fixed.FRONT_MATTER)
 _OPEN = re.compile(r"\[?!\[")
 
 

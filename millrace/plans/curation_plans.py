@@ -253,7 +253,7 @@ SQL = {
     "cjk_texts": f"""select doc_id, n > 0 and len(regexp_extract_all(text, '{pages.CJK}')) > n * 0.5 as is_cjk
       from (select doc_id, text, len(regexp_extract_all(text, '\\p{{L}}')) as n from documents where text is not null)""",
     "link_kinds": rf"""select pos, u <> '' and not regexp_matches(u, '^(#|data:|mailto:|tel:|javascript:|https?://|//)') as is_relative,
-      regexp_matches(u, '{'|'.join(x.replace('.', '[.]') for x in urls.SOCIAL_DOMAINS)}') as is_social, contains(lower(u), 'print') as is_print, regexp_matches(lower(split_part(u, '?', 1)), '\.({'|'.join(urls.IMAGE_EXTENSIONS)})$') as is_image_file
+      regexp_matches(u, '{'|'.join(x.replace('.', '[.]') for x in urls.SOCIAL_HOSTS)}') as is_social, contains(lower(u), 'print') as is_print, regexp_matches(lower(split_part(u, '?', 1)), '\.({'|'.join(urls.IMAGE_ENDINGS)})$') as is_image_file
       from (select pos, json_extract_string(j, '$.image_url') as u from (select pos, {_OBJ} as j from image_labels)) where u is not null""",
     "whitespace_normal": r"""select doc_id, sha256(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(text, '(?m)^[ \t\x{a0}]+$', '', 'g'),
       '\n{3,}', chr(10) || chr(10), 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '(?i)<br\s*/?>', '', 'g'), '^\n+', '')) as text_hash from documents where text is not null""",

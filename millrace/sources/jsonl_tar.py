@@ -20,13 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from millrace.functions import fixed
+
 SCHEMA = "kind string, pos long, id string, info string, data string, tags array<string>, image_bytes binary, sha256 string"
 STEP = 1 << 40
-_TITLE = re.compile(r"<title>([^<]+)</title>", re.I)
-_CANONICAL = re.compile(r"<link[^>]*rel=[\"']canonical[\"'][^>]*href=[\"']([^\"']+)[\"']", re.I)
-_CATEGORY = re.compile(r"<a[^>]*href=[\"'](?:https?://[^/]*)*/wiki/Category:[^\"']+[\"'][^>]*>([^<]+)</a>", re.I)
-#: Maintenance categories that are no tags.
-SKIPPED = ("Category", "Articles", "Pages", "Webarchive", "CS1", "All ", "Use ", "Commons category", "Short description", "Wikipedia")
+_TITLE, _CANONICAL, _CATEGORY = (re.compile(x) for x in (fixed.TITLE, fixed.CANONICAL, fixed.CATEGORY))
 
 
 def located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -69,8 +67,8 @@ def page_meta(page: str) -> tuple[str | None, str, list[str]]:
     names = [c.strip() for c in _CATEGORY.findall(page)]
     return (
         url.group(1) if url else None,
-        re.sub(r"\s*[-–—]\s*Wikipedia\s*$", "", title.group(1).strip()) if title else "",
-        [n.replace("&amp;", "&") for n in names if not n.startswith(SKIPPED)],
+        re.sub(fixed.SITE_IN_TITLE, "", title.group(1).strip()) if title else "",
+        [n.replace("&amp;", "&") for n in names if not n.startswith(fixed.SKIPPED_CATEGORIES)],
     )
 
 
