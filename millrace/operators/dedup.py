@@ -23,9 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions import jsonx
 from millrace.operators.ranking import ranked
-from millrace.sources.tables import shared_dir
+from millrace.sources.tables import materialize, shared_dir
 
 BUCKET = 1_000_000
 
@@ -129,20 +128,20 @@ def merged_tags(labels: DataFrame) -> DataFrame:
     return first.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("at", "tag"))).alias("t")).select("id", F.col("t.tag").alias("tags"))
 
 
+def _canonical(info: str | None) -> str:
+    try:
+        o = json.loads(info) if info else {}
+    except ValueError:
+        o = {}
+    o = dict(o) if isinstance(o, dict) else {}
+    o.pop("info_addtional", None)
+    return json.dumps(o, ensure_ascii=False, sort_keys=True)
+
+
 @F.pandas_udf(T.StringType())
 def canonical_info(info: pd.Series) -> pd.Series:
     """The object with sorted keys and without its earlier variants; ``{}`` for anything else (O056)."""
-
-    def one(s: str | None) -> str:
-        try:
-            o = json.loads(s) if s else {}
-        except ValueError:
-            o = {}
-        o = dict(o) if isinstance(o, dict) else {}
-        o.pop("info_addtional", None)
-        return json.dumps(o, ensure_ascii=False, sort_keys=True)
-
-    return info.map(one)
+    return info.map(_canonical)
 
 
 def info_variants(labels: DataFrame) -> DataFrame:
@@ -154,15 +153,47 @@ def info_variants(labels: DataFrame) -> DataFrame:
 PART = 500
 
 
-def _merge_info(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = []
-        for info, more in zip(b["info"], b["more"]):
-            o = json.loads(info) if info else {}  # a broken first row is an error, as its variants can't be told
-            o = o if isinstance(o, dict) else {}
-            o["info_addtional"] = list(more) if more is not None else []
-            out.append(json.dumps(o, ensure_ascii=False))
-        yield b.assign(info=out).drop(columns="more")
+def _with_variants(info: str | None, more: list[str], strict: bool) -> str:
+    """``info`` with a list of variants. A broken one is an error where ``strict``, as its variants can't be told."""
+    try:
+        o = json.loads(info) if info else {}
+    except ValueError:
+        if strict:
+            raise
+        o = {}
+    o = o if isinstance(o, dict) else {}
+    o["info_addtional"] = more
+    return json.dumps(o, ensure_ascii=False)
+
+
+_MERGED = "pos long, id string, part int, info string, data string, tags array<string>, n_rows string, n_variants string"
+
+
+def _merge_few(strict: bool):
+    """Whole groups: (id, rows by position, tags)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for i, rows, tags in zip(b["id"], b["rows"], b["tags"]):
+                first = rows[0]
+                variants = list(dict.fromkeys(_canonical(r["info"]) for r in rows))
+                info = _with_variants(first["info"], variants[1:], strict)
+                out.append((first["pos"], i, 0, info, first["data"] or "", [] if tags is None else list(tags), str(len(rows)), str(len(variants))))
+            yield pd.DataFrame(out, columns=["pos", "id", "part", "info", "data", "tags", "n_rows", "n_variants"])
+
+    return run
+
+
+def _merge_parts(strict: bool):
+    """Parts of groups: the record with its first variants, or further variants alone."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            info = [_with_variants(i, [] if m is None else list(m), strict) for i, m in zip(b["info"], b["more"])]
+            yield b.assign(info=info).drop(columns="more")
+
+    return run
 
 
 def merge_labels(labels: DataFrame, strict: bool = True, per_part: int = PART) -> DataFrame:
@@ -177,23 +208,29 @@ def merge_labels(labels: DataFrame, strict: bool = True, per_part: int = PART) -
     the row with part 0, the lists of an id in the order of ``part`` are the whole list, and no cell,
     task or reducer holds more than ``per_part`` variants, however often an id comes. ``n_rows`` and
     ``n_variants`` (the first one included) are the id's, and null in later parts.
+
+    An id of up to ``per_part`` rows is merged where its rows meet, after one shuffle. The few ids of
+    more rows are found by counting first; their variants are numbered in ranges of positions.
     """
     labels = labels.where("id is not null")
-    variants = info_variants(labels)
-    head = labels.groupBy("id").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_rows"), F.min_by(F.struct("info", "data"), "pos").alias("first"))
-    counts = variants.groupBy("id").agg(F.count(F.lit(1)).cast("int").alias("n_variants"))
+    often = materialize(labels.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > per_part).select("id"), "often")
+    few, many = labels.join(often, "id", "left_anti"), labels.join(often, "id", "left_semi")
+    groups = few.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "info", "data"))).alias("rows"))
+    whole = groups.join(merged_tags(few), "id", "left").select("id", "rows", "tags").mapInPandas(_merge_few(strict), _MERGED)
+
+    variants = materialize(info_variants(many), "variants")
+    head = many.groupBy("id").agg(F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n_rows"), F.min_by(F.struct("info", "data"), "pos").alias("first"))
+    counts = variants.groupBy("id").agg(F.count(F.lit(1)).alias("n_variants"))
     nth = ranked(variants, ["id"], F.floor(F.col("first_pos") / BUCKET), "first_pos", "variant").where("rank > 0")
     lists = nth.groupBy("id", F.floor((F.col("rank") - 1) / per_part).cast("int").alias("part")).agg(
         F.min("first_pos").alias("at"), F.array_sort(F.collect_list(F.struct("rank", "variant"))).alias("v")
     )
     lists = lists.select("id", "part", "at", F.col("v.variant").alias("more"))
-    rows = head.join(counts, "id").join(merged_tags(labels), "id", "left").withColumn("part", F.lit(0)).join(lists, ["id", "part"], "full")
-    first = F.col("first.info") if strict else F.when(jsonx.is_object(F.col("first.info")), F.col("first.info")).otherwise("{}")
+    rows = head.join(counts, "id").join(merged_tags(many), "id", "left").withColumn("part", F.lit(0)).join(lists, ["id", "part"], "full")
     rows = rows.select(
-        F.coalesce("pos", "at").alias("pos"), "id", "part", F.when(F.col("part") == 0, first).alias("info"), "more", F.coalesce("first.data", F.lit("")).alias("data"),
-        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), "n_rows", "n_variants",
+        F.coalesce("pos", "at").alias("pos"), "id", "part", F.col("first.info").alias("info"), "more", F.coalesce("first.data", F.lit("")).alias("data"),
+        F.coalesce("tags", F.array().cast("array<string>")).alias("tags"), F.col("n_rows").cast("string"), F.col("n_variants").cast("string"),
     )
     # nullable whole numbers would reach pandas as floats, so they travel as text
-    text = rows.withColumn("n_rows", F.col("n_rows").cast("string")).withColumn("n_variants", F.col("n_variants").cast("string"))
-    done = text.mapInPandas(_merge_info, "pos long, id string, part int, info string, data string, tags array<string>, n_rows string, n_variants string")
+    done = whole.unionByName(rows.mapInPandas(_merge_parts(strict), _MERGED))
     return done.withColumn("n_rows", F.col("n_rows").cast("long")).withColumn("n_variants", F.col("n_variants").cast("int"))
