@@ -8,8 +8,9 @@ Every line that shows text is a node. The source stands for the article, the sin
   its surroundings: tags and class names around it, how much of it is linked, whether it stands in the
   container of the title. No name or place is known beforehand; all their weights are learned;
 * adjacency edges join neighbouring lines, DOM edges join lines with the node of their innermost
-  container, and that node with the container around it. So a line that says little, or that two
-  voices dispute, goes where the lines around it go.
+  container, and that node with the container around it. A container is held to what its place, in
+  the article's container or outside of it, says. So a line that says little, or that two voices
+  dispute, goes where the lines around it go.
 
 The cut of least cost separates article and furniture; maximum flow finds it exactly. Nodes whose
 terminal capacity is worth more than all their edges are settled beforehand (they keep their side in
@@ -61,6 +62,10 @@ FAMILIAR = 2.0
 SHRINK = 8.0
 #: The most that the words and the surroundings of a line can say, and what is known of the title and before it.
 LIMIT, SURROUNDINGS, BEFORE_TITLE, TITLE = 5.0, 5.0, 4.0, 9.0
+#: The most that words say for the article.
+PROSE = 5.0
+#: Part of what its place says about lines that a container itself is held to.
+BOX = 0.5
 
 
 class Line:
@@ -274,7 +279,7 @@ class Classifier:
             return max(-LIMIT, min(LIMIT, 1.5 * known))
         if not any(t in self.weights for t in toks if t[0] != "@"):
             return 0.0  # the shape alone has no say
-        return max(-LIMIT, min(LIMIT, self.prior + sum([g(t, 0.0) for t in toks])))
+        return max(-PROSE, min(LIMIT, self.prior + sum([g(t, 0.0) for t in toks])))
 
     def around(self, toks: set[str]) -> float:
         """What the surroundings of a line say."""
@@ -406,7 +411,8 @@ def label(data: str, is_html: bool, title: str | None, site: str, model: Classif
                 at = box
                 while at > 0 and at not in node:
                     node[at] = len(unary)
-                    unary.append(0.0)
+                    place = "" if inside is None or at in holds else "~inside plain" if inside[at] else "~outside plain"
+                    unary.append(BOX * model.weights.get(place, 0.0))
                     at = parents[at]
                 at = box
                 while (p := parents[at]) > 0 and (node[p], node[at]) not in edges:
